@@ -20,6 +20,7 @@ import re
 
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ LOOKAHEAD = 3
 #: A single space between two visible characters always starts a pre-token, whatever stands before.
 _UNSAFE_SPACE = re.compile(r"\s\x20|\x20\s|^\x20|\x20$")
 _SAFE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
-_CACHE_ENTRIES = 400_000
+_CACHE_ENTRIES, _SHORT_UNIT = 400_000, 64
 
 
 @functools.lru_cache(4)
@@ -73,17 +74,22 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Encoder:
-    """Encodes pieces that start and end at pre-token boundaries; keeps what it found for frequent units."""
+    """Encodes pieces that start and end at pre-token boundaries; keeps what it found for frequent units.
+
+    Short units go to tiktoken; long ones, on which its merging takes quadratic time, to ``merge``.
+    """
 
     def __init__(self, data: bytes, pattern: str):
         self.ranks, self.find, self.known = _ranks(data), regex.compile(pattern).findall, {}
+        self.short = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
 
     def unit(self, text: str) -> list[int]:
-        ids = [i for piece in self.find(text) for i in merge(piece.encode(), self.ranks)]
-        if len(text) <= 64:
-            if len(self.known) >= _CACHE_ENTRIES:
-                self.known.clear()
-            self.known[text] = ids
+        if len(text) > _SHORT_UNIT:
+            return [i for piece in self.find(text) for i in merge(piece.encode(), self.ranks)]
+        ids = self.short(text)
+        if len(self.known) >= _CACHE_ENTRIES:
+            self.known.clear()
+        self.known[text] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
