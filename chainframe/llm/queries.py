@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe
+from chainframe.llm import bpe, mixing
+from chainframe.llm.common import word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), word_count(F.col("text")))
+    rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def byte_bpe_digest(docs: DataFrame) -> DataFrame:
     """doc_id with the digests of its ids and of the bytes they decode to."""
     import public_tokenizers
@@ -31,7 +38,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_byte_bpe,)}
+    return {f.__name__: f for f in (op2_mixing, op6_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
