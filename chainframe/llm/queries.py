@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe, mixing
+from chainframe.llm import bpe, mixing, warc
 from chainframe.llm.common import word_count
 
 
@@ -37,8 +37,15 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, index = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(path, index).select(
+        F.expr("try_cast(key as long)").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.expr("try_cast(refers_to as long)").alias("refers_to")
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op6_byte_bpe)}
+    return {f.__name__: f for f in (op2_mixing, op6_byte_bpe, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
