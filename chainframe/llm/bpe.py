@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_CHARS, OVERLAP_CHARS = 16_384, 1_024
+from chainframe.llm.common import bound_batches
+
+CHUNK_CHARS, OVERLAP_CHARS = 65_536, 1_024
 #: A boundary this near the cut end of a chunk may move when more text is seen: contractions look at three characters.
 LOOKAHEAD = 3
 #: A single space between two visible characters always starts a pre-token, whatever stands before.
 _UNSAFE_SPACE = re.compile(r"\s\x20|\x20\s|^\x20|\x20$")
 _SAFE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
-_CACHE_ENTRIES, _SHORT_UNIT = 400_000, 64
+_CACHE_ENTRIES, _SHORT_UNIT = 100_000, 64
 
 
 @functools.lru_cache(4)
@@ -168,7 +170,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
     vocabulary: path of a rank file (base64 token and rank a line), read by the driver; its size is that
     of the vocabulary, not of the data. pattern: the pre-tokenisation pattern.
     """
-    spark = docs.sparkSession
+    spark = bound_batches(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         data = spark.sparkContext.broadcast(f.read())
     keep = [c for c in docs.columns if c != text]

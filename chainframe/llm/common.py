@@ -43,6 +43,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, rows: int = 2_000, size: str = "8m") -> SparkSession:
+    """Bounds the Arrow batches that Python workers get, so that their memory follows neither the
+    length of texts nor a row count meant for narrow rows. A smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(rows, int(spark.conf.get(key)))))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return spark
+
+
 def word_count(text) -> F.Column:
     """Words of a text as the contracts define them (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
