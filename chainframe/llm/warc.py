@@ -1,16 +1,16 @@
 """WARC archives: written with an index, read back by coalesced byte ranges.
 
-Writing: each row becomes one WARC/1.1 record holding an HTTP response whose body is the page in UTF-8.
-Of rows with equal bodies of at least ``min_revisit_bytes`` the one with the smallest key becomes the
-response and the others become revisit records without a body that name it; smaller bodies are all
-responses. Records are dealt to archives by the hash of their key, so no host or popular body makes one archive large. The index (archive,
-offset, length, url, digest and key of each record) is worked out before the archives are read, and
-written as Parquet. Spark's own text writer makes the files: the two line ends that close a WARC record
-are its line separator, so archives land in any store that Spark can write.
-
-Reading: the index rows that a caller selects are sorted by archive and offset; ranges that are
-near each other become one read of bounded size; each read is a row of its own and is sliced into
-its records by the index.
+Writing: each row becomes one WARC/1.1 record holding an HTTP response whose body is the page in UTF-8,
+compressed as a gzip member of its own. Of rows with equal bodies of at least ``min_revisit_bytes`` the one
+with the smallest key becomes the response and the others become revisit records without a body that name
+it; smaller bodies are all responses. Records are dealt to archives by the hash of their key, so no host or
+popular body makes one archive large. Tasks stream their archives to the shared folder, in any store that
+pyarrow opens, and the index (file, offset, length, url, digest and key of each record) is written as
+Parquet before anything is read.
+
+Reading: the index rows that a caller selects are sorted by file and offset; ranges that are near each
+other become one read of bounded size; each read is a row of its own and is sliced into its records by the
+index.
 
 Null bodies are empty payloads; a null url leaves the header out; control characters in urls are percent-encoded. Rows with a
 null key are responses or revisits like others, after all other keys. Repeated rows each get a record; of
@@ -19,22 +19,26 @@ equal keys with equal bodies one is the response. Further columns are left aside
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainframe.llm.common import cut, new_path
+from chainframe.llm.common import bound_batches, cut, new_path
 
 END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
-ARCHIVE_RECORDS = 4_096
+#: Bodies of an archive; small inputs are dealt to as many archives as there are shuffle partitions.
+ARCHIVE_BYTES, LEAST_RECORDS = 256 << 20, 256
+LEVEL = 4  # of gzip
 #: Selected records less than GAP bytes apart are read at once, up to READ bytes.
-GAP, READ = 65_536, 4 << 20
+GAP, READ = 16_384, 1 << 20
 SALTS = 64
 _DATE = "2026-01-01T00:00:00Z"
 _ENTRY = "key string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
@@ -69,8 +73,8 @@ def _head() -> Column:
     )
 
 
-def _index(rows: DataFrame, min_bytes: int, n_archives: int) -> DataFrame:
-    """The index of records that are yet to be written; no body is moved for it.
+def _named(rows: DataFrame, min_bytes: int, n_archives: int) -> DataFrame:
+    """What the records will be, and their place among equal ones; no body is moved for it.
 
     The smallest key of a digest is found by partial aggregation over salts, and each salt's row carries
     it back, so a popular body is as many keys of the join as it has salts.
@@ -80,7 +84,6 @@ def _index(rows: DataFrame, min_bytes: int, n_archives: int) -> DataFrame:
     whole = parts.groupBy("payload_digest").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
     known = parts.select("payload_digest", "salt").join(whole, "payload_digest").withColumn("repeats", F.lit(True))
     same = Window.partitionBy("archive", "key_value", "payload_digest").orderBy("url")
-    before = Window.partitionBy("archive").orderBy("key_value", "payload_digest", "at").rowsBetween(Window.unboundedPreceding, -1)
     opens = F.col("repeats").isNull() | (F.col("key_value").eqNullSafe(F.col("first")) & (F.col("at") == 1))
     return (
         rows.join(known, ["payload_digest", "salt"], "left")
@@ -89,20 +92,19 @@ def _index(rows: DataFrame, min_bytes: int, n_archives: int) -> DataFrame:
         .withColumn("record_type", F.when(opens, "response").otherwise("revisit"))
         .withColumn("key", F.coalesce(F.col("key_value").cast("string"), F.lit("null")))
         .withColumn("refers_to", F.when(~opens, F.coalesce(F.col("first").cast("string"), F.lit("null"))))
-        .withColumn("length", (F.octet_length(_head()) + F.when(opens, F.col("payload_bytes")).otherwise(0) + len(END)).cast("long"))
-        .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
-        .select("key_value", "key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length")
+        .select("key_value", "key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", F.col("at").alias("place"))
     )
 
 
-def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES, archive_records: int = ARCHIVE_RECORDS) -> tuple[str, DataFrame]:
+def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> tuple[str, DataFrame]:
     """Writes archives into the shared folder. Returns their path and the index (one row a record).
 
     Bodies are shuffled once, to their archives.
     """
-    path = new_path(pages.sparkSession, "warc")
-    n_archives = max(1, -(-pages.count() // archive_records))
+    spark = bound_batches(pages.sparkSession)
     text = F.coalesce(F.col(body), F.lit(""))
+    n_records, n_bytes = pages.select(F.octet_length(text).alias("n")).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_archives = max(1, -(-n_bytes // archive_bytes), min(n_records // LEAST_RECORDS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = pages.select(
         F.col(key).alias("key_value"),
         F.col(url).cast("string").alias("url"),
@@ -111,31 +113,58 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str =
         F.pmod(F.xxhash64(F.col(key)), F.lit(n_archives)).cast("int").alias("archive"),
         text.alias("body"),
     )
-    index = cut(_index(rows.drop("body").withColumn("salt", F.pmod(F.xxhash64("key_value", F.lit(7)), F.lit(SALTS))), min_revisit_bytes, n_archives), "warc-index")
-    # Index rows travel with the bodies instead of being joined to them: so one shuffle by archive
-    # serves the lookup, the order of the records and the files.
+    salt = F.pmod(F.xxhash64("key_value", F.lit(7)), F.lit(SALTS))
+    named = cut(_named(rows.drop("body").withColumn("salt", salt), min_revisit_bytes, n_archives), "warc-records")
+    # What is known of the records travels with the bodies instead of being joined to them: so one
+    # shuffle by archive serves the lookup, the order of the records and the files.
     bodies = rows.select("archive", "key_value", "payload_digest", "body")
-    same = Window.partitionBy("archive", "key_value", "payload_digest").orderBy(F.col("offset").asc_nulls_first())
+    same = Window.partitionBy("archive", "key_value", "payload_digest").orderBy(F.col("place").asc_nulls_first())
     records = (
-        index.unionByName(bodies, allowMissingColumns=True)
+        named.unionByName(bodies, allowMissingColumns=True)
         .repartition(n_archives, "archive")
         .withColumn("body", F.first("body").over(same))
-        .where(F.col("offset").isNotNull())
-        .select("archive", "offset", F.concat(_head(), F.when(F.col("record_type") == "response", F.col("body")).otherwise("")).alias("value"))
-        .sortWithinPartitions("archive", "offset")
+        .where(F.col("place").isNotNull())
+        .sortWithinPartitions("archive", "key_value", "payload_digest", "place")
+        .select("archive", "key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", F.concat(_head(), F.when(F.col("record_type") == "response", F.col("body")).otherwise(""), F.lit(END)).alias("record"))
     )
-    records.select("archive", "value").write.partitionBy("archive").option("lineSep", END).option("maxRecordsPerFile", 0).text(f"{path}/archives")
-    return path, index
+    fields = ["archive", "key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    path = new_path(spark, "warc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A file's name holds the task attempt: what a lost attempt left behind is in no index.
+        store, folder = pyarrow.fs.FileSystem.from_uri(path)
+        store.create_dir(folder, recursive=True)
+        attempt = TaskContext.get().taskAttemptId()
+        open_for, out, offset = None, None, 0
+        for batch in batches:
+            files, offsets, lengths = [], [], []
+            for archive, record in zip(batch.column("archive").to_pylist(), batch.column("record").to_pylist(), strict=True):
+                if archive != open_for:
+                    if out:
+                        out.close()
+                    open_for, offset = archive, 0
+                    out = store.open_output_stream(f"{folder}/{archive:08d}-{attempt}.warc.gz", compression=None)
+                member = gzip.compress(record.encode(), LEVEL, mtime=0)
+                out.write(member)
+                files.append(f"{archive:08d}-{attempt}.warc.gz")
+                offsets.append(offset)
+                lengths.append(len(member))
+                offset += len(member)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in fields), pa.array(files, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=[*fields, "file", "offset", "length"])
+        if out:
+            out.close()
+
+    return path, cut(records.mapInArrow(run, f"archive int, {_ENTRY}, file string, offset long, length long").drop("archive"), "warc-index")
 
 
 def ranges(index: DataFrame, gap: int = GAP, most: int = READ) -> DataFrame:
-    """(archive, start, stop, records) byte ranges that hold the index rows; records: (offset, length) in order."""
-    order = Window.partitionBy("archive").orderBy("offset")
+    """(file, start, stop, records) byte ranges that hold the index rows; records: (offset, length) in order."""
+    order = Window.partitionBy("file").orderBy("offset")
     breaks = (F.col("offset") - F.lag(F.col("offset") + F.col("length"), 1, 0).over(order) > gap) | (F.floor(F.col("offset") / most) != F.floor(F.lag("offset", 1, 0).over(order) / most))
     return (
-        index.select("archive", "offset", "length", breaks.cast("long").alias("opens"))
+        index.select("file", "offset", "length", breaks.cast("long").alias("opens"))
         .withColumn("range", F.sum("opens").over(order))
-        .groupBy("archive", "range")
+        .groupBy("file", "range")
         .agg(F.min("offset").alias("start"), F.max(F.col("offset") + F.col("length")).alias("stop"), F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("records"))
         .drop("range")
     )
@@ -163,18 +192,18 @@ def parse(record: bytes) -> dict:
 def read(path: str, index: DataFrame, payload: bool = False) -> DataFrame:
     """Reads the records that the index rows name. key, url, payload_bytes, payload_digest, record_type, refers_to;
     payload: with the bytes too."""
-    spark = index.sparkSession
-    files = spark.read.format("binaryFile").load(f"{path}/archives").select("archive", "path")
-    wanted = ranges(index).join(files, "archive").select("path", "start", "stop", "records")
+    bound_batches(index.sparkSession)
+    wanted = ranges(index).repartition("file", "start")
     fields = ["key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = pyarrow.fs.FileSystem.from_uri(path)
         for batch in batches:
             for row in batch.to_pylist():
-                store, name = pyarrow.fs.FileSystem.from_uri(row["path"])
-                with store.open_input_file(name) as f:
+                with store.open_input_file(f"{folder}/{row['file']}") as f:
                     data = f.read_at(row["stop"] - row["start"], row["start"])
-                found = [parse(data[r["offset"] - row["start"] : r["offset"] - row["start"] + r["length"]]) for r in row["records"]]
+                cut_out = (data[r["offset"] - row["start"] : r["offset"] - row["start"] + r["length"]] for r in row["records"])
+                found = [parse(gzip.decompress(x)) for x in cut_out]
                 table = pa.table({c: [x[c] for x in found] for c in [*fields, *["payload"] * payload]}, schema=schema)
                 yield from table.to_batches()
 
