@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe, mixing, warc
+from chainframe.llm import bpe, mixing, quality, warc
 from chainframe.llm.common import word_count
 
 
@@ -19,6 +19,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
 def byte_bpe_digest(docs: DataFrame) -> DataFrame:
     """doc_id with the digests of its ids and of the bytes they decode to."""
     import public_tokenizers
@@ -45,7 +50,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op6_byte_bpe, op9_warc)}
+    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op6_byte_bpe, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
