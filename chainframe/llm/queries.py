@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe, mixing, quality, warc
+from chainframe.llm import bpe, mixing, quality, secrets, warc
 from chainframe.llm.common import word_count
 
 
@@ -24,6 +24,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def span_digest(df: DataFrame, base: dict[str, str]) -> DataFrame:
+    """doc_id with the number of spans of each base kind, the digest of these and the list of all. base: column by kind."""
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def of(*kinds):
+        return lambda x: x["kind"].isin(*kinds)
+
+    return df.select(
+        "doc_id",
+        *(F.size(F.filter("spans", of(kind))).cast("long").alias(c) for kind, c in base.items()),
+        F.sha2(listed(F.filter("spans", of(*base))), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return span_digest(found, {"assign": "n_assign", "access": "n_access", "hex": "n_hex"})
+
+
 def byte_bpe_digest(docs: DataFrame) -> DataFrame:
     """doc_id with the digests of its ids and of the bytes they decode to."""
     import public_tokenizers
@@ -50,7 +72,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op6_byte_bpe, op9_warc)}
+    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
