@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe, mixing, quality, secrets, warc
+from chainframe.llm import bpe, language, mixing, quality, secrets, warc
 from chainframe.llm.common import word_count
 
 
@@ -71,8 +71,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """docs with the predicted language; the model learns from the labelled rows that are not held out."""
+    model = language.fit(docs.where(~language.held_out()))
+    return language.predict(docs, model)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identified(docs).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op9_warc)}
+    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op9_warc, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
