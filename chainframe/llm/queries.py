@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import bpe, html, language, mixing, quality, secrets, warc
+from chainframe.llm import ann, bpe, html, language, mixing, quality, secrets, warc
 from chainframe.llm.common import word_count
 
 
@@ -64,6 +64,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -87,7 +91,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op8_html_extraction, op9_warc, op10_language_id)}
+    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
