@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import ann, bpe, html, language, mixing, quality, secrets, warc
+from chainframe.llm import ann, bpe, html, jaccard, language, mixing, quality, secrets, warc
 from chainframe.llm.common import word_count
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), word_count(F.col("text")))
     rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
@@ -91,7 +95,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
