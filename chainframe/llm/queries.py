@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.llm import ann, bpe, html, jaccard, language, mixing, quality, secrets, warc
+from chainframe.llm import ann, bpe, html, jaccard, language, mixing, pii, quality, secrets, warc
 from chainframe.llm.common import word_count
 
 
@@ -50,6 +50,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(found, {"assign": "n_assign", "access": "n_access", "hex": "n_hex"})
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return span_digest(found, {kind: f"n_{kind}" for kind in pii.BASE})
+
+
 def byte_bpe_digest(docs: DataFrame) -> DataFrame:
     """doc_id with the digests of its ids and of the bytes they decode to."""
     import public_tokenizers
@@ -95,7 +100,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_quality_rules, op4_secrets, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_quality_rules, op4_secrets, op5_pii, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
