@@ -1,8 +1,71 @@
-"""The corpus pipeline (counted as part of chainframe.llm)."""
+"""The corpus pipeline (counted as part of chainframe.llm): language ID, near copies, personal data, mixing, tokens.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; each result is written as Parquet and read back as the next
+stage's docs. All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chainframe.llm import jaccard, language, mixing, pii
+from chainframe.llm.common import cut, word_count
+from chainframe.llm.queries import byte_bpe_digest
+
+#: Documents whose language is told with less certainty than this are rejected, as are those without letters.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that the model tells, and writes that language as their lang."""
+    model = language.fit(docs.where(~language.held_out()))
+    told = language.predict(docs.select("doc_id", "text", "lang", "source", "n_chars"), model)
+    kept = told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest doc_id of each class. Documents without a doc_id are in no class and stay."""
+    classes = jaccard.join(docs.select("doc_id", "text"))
+    first = classes.where("doc_id = class_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]) if _repeats(docs) else docs.where("doc_id is not null")
+    return named.join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def _repeats(docs: DataFrame) -> bool:
+    """Whether a doc_id stands on several rows."""
+    return bool(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks personal data; n_chars follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the mix of sources does."""
+    return mixing.mix(docs, word_count(F.col("text")))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row a document taken: the digests of its token ids and of what they decode to."""
+    return byte_bpe_digest(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", near_copies),
+    ("PII", personal_data),
+    ("mixing", mixture),
+    ("byte-level BPE", tokens),
+]
+#: Fitted models, EM, pattern graphs and BPE are not SQL; tests/llm holds the pipeline against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return docs
