@@ -36,7 +36,7 @@ BANDS, ROWS = 32, 4
 TOLERANCE = 1e-6
 #: MinHash values compared before each look at the posterior.
 STEP = 16
-BLOCK = 256
+BLOCK = 1_024
 _SEED = np.random.default_rng(20240229)
 _TIMES = _SEED.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLUS = _SEED.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
