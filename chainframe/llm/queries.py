@@ -103,5 +103,19 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_quality_rules, op4_secrets, op5_pii, op6_byte_bpe, op7_ann, op8_html_extraction, op9_warc, op10_language_id)}
 
 
+#: DuckDB SQL of the one query that SQL expresses; the others are tested against plain versions.
+WARC_SQL = """
+    with payloads as (
+        select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+    ), ranked as (
+        select *, min(page_id) over (partition by payload_digest) as first_id from payloads
+    )
+    select page_id, payload_bytes, payload_digest,
+        case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+        case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+    from ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": WARC_SQL}

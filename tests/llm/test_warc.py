@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 
+import duckdb
+
 from chainframe.llm import queries, warc
 
 BIG = "é<html>" + "x" * 200
@@ -58,3 +60,12 @@ def test_query_over_pages(spark, sf_dir):
 def test_empty(spark):
     path, index = warc.write(spark.createDataFrame([], "page_id long, url string, html string"))
     assert warc.read(path, index).collect() == []
+
+
+def test_oracle(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{sf_dir}/pages.parquet')")
+    rel = con.execute(queries.oracle_sql()["op9_warc"])
+    want = sorted(rel.fetchall())
+    assert [d[0] for d in rel.description] == queries.op9_warc(spark, sf_dir).columns
+    assert want == sorted(map(tuple, queries.op9_warc(spark, sf_dir).collect()))
