@@ -81,15 +81,16 @@ def reorgs(feed: DataFrame) -> DataFrame:
     return with_previous(feed).where(back).select("stream", "seq", "network", F.col("start_block").alias("inv_start"), F.greatest("end_block", "p_end").alias("inv_end"))
 
 
-def classify(feed: DataFrame, n_rows: Column | None = None) -> DataFrame:
+def classify(feed: DataFrame, n_rows: Column | None = None, invalidated: DataFrame | None = None) -> DataFrame:
     """A row a message: stream, seq, tag, n_networks, inv_start, inv_end (the extent of what it invalidates).
 
     A message that invalidates anything is a Reorg, whatever rows it carries; a complete one without rows is
     a Watermark; any other is Data. n_rows: rows of a message (default: a complete message has none).
+    invalidated: the reorgs of the feed, where they are at hand.
     """
     rows = F.when(F.col("ranges_complete"), 0).otherwise(1) if n_rows is None else n_rows
     messages = feed.groupBy("stream", "seq").agg(F.bool_and("ranges_complete").alias("complete"), F.max(rows).alias("n_rows"), F.count("*").alias("n_networks"))
-    back = reorgs(feed).groupBy("stream", "seq").agg(F.min("inv_start").alias("inv_start"), F.max("inv_end").alias("inv_end"))
+    back = (reorgs(feed) if invalidated is None else invalidated).groupBy("stream", "seq").agg(F.min("inv_start").alias("inv_start"), F.max("inv_end").alias("inv_end"))
     tag = F.when(F.col("inv_start").isNotNull(), "Reorg").when(F.col("complete") & (F.col("n_rows") == 0), "Watermark").otherwise("Data")
     return messages.join(back, ["stream", "seq"], "left").select("stream", "seq", tag.alias("tag"), "n_networks", "inv_start", "inv_end")
 

@@ -7,29 +7,36 @@ reorganisations go by network and block bin, so their cost follows the depth of
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.operators import protocol
+from chainframe.sources.shared import cut
 
 RETENTION = 128
 
 
-def tx_ids(feed: DataFrame) -> DataFrame:
-    """Messages with ``tx_id``: their place in the stream, from 0."""
+def tx_ids(feed: DataFrame, invalidated: DataFrame | None = None) -> DataFrame:
+    """Messages with ``tx_id``: their place in the stream, from 0. invalidated: as for protocol.classify."""
     place = F.row_number().over(Window.partitionBy("stream").orderBy("seq")) - 1
-    return protocol.classify(feed).withColumn("tx_id", place.cast("long"))
+    return protocol.classify(feed, invalidated=invalidated).withColumn("tx_id", place.cast("long"))
 
 
 class Marks:
-    """The watermarks and reorganisations of a feed, by transaction id."""
+    """The watermarks and reorganisations of a feed, by transaction id.
+
+    What several results share (the feed, its messages, the fate of its watermarks) is written once to the shared folder.
+    """
 
     def __init__(self, feed: DataFrame, retention: int = RETENTION):
         self.retention = retention
-        ids = tx_ids(feed)
-        self.events = ids
+        feed = cut(feed, "feed")
+        invalidated = cut(protocol.reorgs(feed), "reorgs")
+        self.events = ids = cut(tx_ids(feed, invalidated), "messages")
         self.watermarks = ids.where("tag = 'Watermark'").select("stream", "seq", F.col("tx_id").alias("w_id")).join(feed, ["stream", "seq"]).select("stream", "w_id", "network", "start_block", "end_block")
-        self.points = ids.where("tag = 'Reorg'").select("stream", "seq", F.col("tx_id").alias("r_id")).join(protocol.reorgs(feed), ["stream", "seq"]).select("stream", "r_id", "network", "inv_start", "inv_end")
+        self.points = ids.where("tag = 'Reorg'").select("stream", "seq", F.col("tx_id").alias("r_id")).join(invalidated, ["stream", "seq"]).select("stream", "r_id", "network", "inv_start", "inv_end")
         # one bin holds any retention window's edge and any range
         span = feed.agg(F.max(F.col("end_block") - F.col("start_block") + 1)).first()[0] or 1
         self.bin = max(retention, span, 1)
@@ -42,16 +49,17 @@ class Marks:
         met = w.join(p, ["stream", "network", "bin"]).where("r_id > w_id and start_block >= inv_start")
         return met.groupBy("stream", "w_id").agg(F.min("r_id").alias("killed_by"))
 
+    @functools.cached_property
     def alive(self) -> DataFrame:
         """The watermarks with killed_by (null: never)."""
-        return self.watermarks.join(self.killed(), ["stream", "w_id"], "left")
+        return cut(self.watermarks.join(self.killed(), ["stream", "w_id"], "left"), "watermarks")
 
     def prunes(self) -> DataFrame:
         """stream, w_id, prune: the last watermark that lies behind the retention window of w on every network, if that moves on."""
         cutoff = F.greatest(F.lit(0), F.col("start_block") - self.retention)
         w = self.watermarks.select("stream", "w_id", "network", cutoff.alias("cutoff")).where("cutoff > 0")
         w = w.withColumn("bin", F.explode(F.array(F.floor((F.col("cutoff") - 1) / self.bin), F.floor((F.col("cutoff") - 1) / self.bin) - 1)))
-        v = self.alive().select("stream", "network", F.col("w_id").alias("v_id"), F.col("end_block").alias("v_end"), "killed_by").withColumn("bin", F.floor(F.col("v_end") / self.bin))
+        v = self.alive.select("stream", "network", F.col("w_id").alias("v_id"), F.col("end_block").alias("v_end"), "killed_by").withColumn("bin", F.floor(F.col("v_end") / self.bin))
         met = w.join(v, ["stream", "network", "bin"]).where("v_id < w_id and v_end < cutoff and (killed_by is null or killed_by > w_id)")
         newest = met.groupBy("stream", "w_id", "network").agg(F.max("v_id").alias("v_id"))
         n = self.watermarks.groupBy("stream", "w_id").agg(F.count("*").alias("n"))
@@ -73,7 +81,7 @@ class Marks:
         # what is neither killed nor pruned ends within the retention window before the reorganisation
         low = F.floor(F.greatest(F.lit(0), F.col("inv_start") - 2 * self.bin) / self.bin)
         r = self.points.join(first, ["stream", "r_id", "network"]).select("stream", "r_id", "network", F.explode(F.sequence(low, F.floor(F.col("inv_end") / self.bin))).alias("bin"))
-        w = self.alive().withColumn("bin", F.floor(F.col("end_block") / self.bin))
+        w = self.alive.withColumn("bin", F.floor(F.col("end_block") / self.bin))
         met = r.join(w, ["stream", "network", "bin"]).join(floors, ["stream", "r_id"]).where("w_id < r_id and (killed_by is null or killed_by > r_id) and (floor is null or w_id > floor)")
         best = met.groupBy("stream", "r_id").agg(F.max("w_id").alias("recovery"))
         return floors.join(best, ["stream", "r_id"], "left").select("stream", "r_id", "recovery", "floor")
@@ -91,13 +99,13 @@ class Marks:
     def commits(self) -> DataFrame:
         """stream, w_id: watermarks left in the store at the end, inserts less what reorganisations and pruning took."""
         last = self.prunes().groupBy("stream").agg(F.max("prune").alias("cut"))
-        w = self.alive().where("killed_by is null").select("stream", "w_id").distinct()
+        w = self.alive.where("killed_by is null").select("stream", "w_id").distinct()
         return w.join(last, "stream", "left").where("cut is null or w_id > cut").select("stream", "w_id")
 
     def rewinds(self, upto: int) -> DataFrame:
         """stream, undo_start, undo_end of a restart after the events with tx_id < upto (no row: nothing to undo)."""
         done = self.events.where(F.col("tx_id") < upto)
         last = done.groupBy("stream").agg((F.max("tx_id") + 1).alias("next"))
-        kept = self.alive().where((F.col("w_id") < upto) & (F.col("killed_by").isNull() | (F.col("killed_by") >= upto))).groupBy("stream").agg(F.max("w_id").alias("w"))
+        kept = self.alive.where((F.col("w_id") < upto) & (F.col("killed_by").isNull() | (F.col("killed_by") >= upto))).groupBy("stream").agg(F.max("w_id").alias("w"))
         start = F.coalesce(F.col("w") + 1, F.lit(0).cast("long"))
         return last.join(kept, "stream", "left").where(F.col("next") > start).select("stream", start.alias("undo_start"), (F.col("next") - 1).alias("undo_end"))
