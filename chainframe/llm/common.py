@@ -2,47 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from chainframe.sources.shared import cut, new_path, shared_dir
+
+__all__ = ["ASCII_SPACE", "WORD_RE", "bound_batches", "cut", "new_path", "shared_dir", "word_count"]
+
 #: White space of the word contracts: space and the five ASCII control spaces.
 ASCII_SPACE = "\x20\t\n\x0b\x0c\r"
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and every executor see.
-
-    It is the one named by ``spark.checkpoint.dir``. Only a local session without that setting (tests)
-    gets a temporary folder; elsewhere a missing setting is an error, because a machine-local folder
-    would be invisible to the other executors.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="chainframe-")
-    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
-    return f"file://{made}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/chainframe/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: computed once, lineage cut,
-    and nothing is lost with an executor."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bound_batches(spark: SparkSession, rows: int = 2_000, size: str = "8m") -> SparkSession:
     """Bounds the Arrow batches that Python workers get, so that their memory follows neither the
     length of texts nor a row count meant for narrow rows. A smaller setting of the session stays."""
