@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainframe.operators import joins
 from chainframe.operators.transactions import Marks
 
 
 def seek(batches: DataFrame, ranges: DataFrame, width: int = 64) -> DataFrame:
     """Ids of batches (stream, tx_id) inside id ranges (stream, r_id, undo_start, undo_end), by bins of ids."""
-    bins = F.sequence(F.floor(F.col("undo_start") / width), F.floor(F.col("undo_end") / width))
-    r = ranges.withColumn("_bin", F.explode(bins))
-    return batches.withColumn("_bin", F.floor(F.col("tx_id") / width)).join(r, ["stream", "_bin"]).where("tx_id between undo_start and undo_end").select("stream", "r_id", "tx_id")
+    return joins.within(batches, ranges, ["stream"], "tx_id", F.col("undo_start"), F.col("undo_end"), width).select("stream", "r_id", "tx_id")
 
 
 def changes(marks: Marks, rows: DataFrame) -> DataFrame:

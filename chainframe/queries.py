@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chainframe.functions import domain
-from chainframe.operators import catalog, cdc, protocol
+from chainframe.operators import catalog, cdc, joins, protocol
 from chainframe.operators.transactions import Marks, tx_ids
 from chainframe.plans import gate
 from chainframe.sources import arrow_types
 from chainframe.sources.feed import event_rows, from_metadata, registry, resume_cursor, synthetic_feed, table, to_metadata
+from chainframe.sources.shared import new_path
+from chainframe.streaming import processor
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -342,6 +344,24 @@ def latest_version(spark, sf_dir):
     return catalog.latest(_registry(spark, sf_dir), ["namespace"])
 
 
+@query(f"WITH {_REGISTRY} SELECT namespace, array_to_string(list_sort(list_distinct(list(version_tag))), ',') AS versions FROM registry GROUP BY namespace")
+def dataset_versions(spark, sf_dir):
+    """The distinct versions in each namespace, as text in the order of their code points."""
+    return _registry(spark, sf_dir).groupBy("namespace").agg(F.array_join(F.array_sort(F.collect_set("version_tag")), ",").alias("versions"))
+
+
+_EDITED = "CASE WHEN ds_id % 4 = 0 THEN upper(name) WHEN ds_id % 4 = 1 THEN '1' || name ELSE name END", "CASE WHEN ds_id % 5 = 0 THEN version_tag || '.0' WHEN ds_id % 5 = 1 THEN 'v' || version_tag ELSE version_tag END"
+
+
+@query(
+    f"WITH {_REGISTRY} SELECT ds_id, regexp_matches(namespace, '{domain.PATTERNS['dataset_namespace']}') AS namespace_ok, regexp_matches({_EDITED[0]}, '{domain.PATTERNS['dataset_name']}') AS name_ok, regexp_matches({_EDITED[1]}, '{domain.SEMVER}') AS version_ok FROM registry"
+)
+def validate_domain(spark, sf_dir):
+    """Which names and versions are well formed, over a registry with some that are not."""
+    name, version = map(F.expr, _EDITED)
+    return _registry(spark, sf_dir).select("ds_id", domain.is_valid("dataset_namespace", F.col("namespace")).alias("namespace_ok"), domain.is_valid("dataset_name", name).alias("name_ok"), domain.is_semver(version).alias("version_ok"))
+
+
 @query(f"WITH {_REGISTRY}, v AS (SELECT DISTINCT version_tag AS version FROM registry) SELECT version, row_number() OVER (ORDER BY string_split(split_part(version, '-', 1), '.')::BIGINT[], NOT contains(version, '-')) AS rank FROM v")
 def semver_order(spark, sf_dir):
     return catalog.semver_rank(_registry(spark, sf_dir))
@@ -466,6 +486,15 @@ def asof_join(spark, sf_dir):
     return e.withColumn("view_id", last).where("event_type = 'purchase'").select("event_id", "view_id")
 
 
+@query("SELECT p.event_id, v.event_id AS view_id FROM events p JOIN events v ON v.user_id = p.user_id AND v.event_id BETWEEN p.event_id - 500 AND p.event_id - 1 WHERE p.event_type = 'purchase' AND v.event_type = 'view'")
+def range_join(spark, sf_dir):
+    """The views of its user among the 500 events before each purchase."""
+    e = table(spark, sf_dir, "events")
+    views = e.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"))
+    bought = e.where("event_type = 'purchase'").select("user_id", "event_id")
+    return joins.within(views, bought, ["user_id"], "view_id", F.col("event_id") - 500, F.col("event_id") - 1, 500).select("event_id", "view_id")
+
+
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS quantity, min(l_shipdate) AS first, max(l_shipdate) AS last FROM lineitem GROUP BY ALL")
 def agg_basic(spark, sf_dir):
     quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(28,2)").alias("quantity")
@@ -521,6 +550,11 @@ def topk(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 50")
+def offset_page(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey").offset(50).limit(25)
+
+
 def _keys(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
 
@@ -562,6 +596,19 @@ def fn_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
+@query("SELECT p_partkey, CAST(floor(p_retailprice) AS BIGINT) AS low, CAST(ceil(p_retailprice) AS BIGINT) AS high, round(sqrt(p_retailprice), 6) AS root, CAST(p_size % 7 AS BIGINT) AS rest, CAST(abs(p_size - 25) AS BIGINT) AS away FROM part")
+def fn_math(spark, sf_dir):
+    price, size = F.col("p_retailprice"), F.col("p_size").cast("long")
+    return table(spark, sf_dir, "part").select("p_partkey", F.floor(price).cast("long").alias("low"), F.ceil(price).cast("long").alias("high"), F.round(F.sqrt(price), 6).alias("root"), (size % 7).alias("rest"), F.abs(size - 25).alias("away"))
+
+
+@query("SELECT n_nationkey, 'name' AS key, n_name AS value FROM nation UNION ALL SELECT n_nationkey, 'region', CAST(n_regionkey AS VARCHAR) FROM nation")
+def fn_map(spark, sf_dir):
+    """The entries of a map, a row each."""
+    m = F.create_map(F.lit("name"), F.col("n_name"), F.lit("region"), F.col("n_regionkey").cast("string"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.explode(F.map_entries(m)).alias("e")).select("n_nationkey", "e.key", "e.value")
+
+
 _HOURS = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL"
 
 
@@ -571,6 +618,12 @@ def tumbling_window(spark, sf_dir):
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
 
 
+@query("SELECT start, event_type, count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start, event_type FROM events) GROUP BY ALL")
+def sliding_window(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy(F.window("ts", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
+
+
 @query(
     "SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))) GROUP BY user_id, s"
 )
@@ -587,3 +640,17 @@ def stream_windows(spark, sf_dir):
     name = "stream_windows"
     counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     return spark.table(name)
+
+
+@query(
+    f"WITH {_MARKS} SELECT m.stream, m.seq, CAST(m.tx_id AS BIGINT) AS tx_id, CASE WHEN m.tag = 'Reorg' THEN 'Undo' ELSE m.tag END AS tag, CAST(undo_start AS BIGINT) AS undo_start, CAST(undo_end AS BIGINT) AS undo_end, CAST(prune AS BIGINT) AS prune"
+    " FROM messages m LEFT JOIN undone u ON u.r_id = m.tx_id LEFT JOIN pruned ON pruned.w_id = m.tx_id"
+)
+def stream_transactions(spark, sf_dir):
+    """The transaction events of a stream of messages, by the stateful operator, written as they come and read back."""
+    source, out, progress = (new_path(spark, f"transactions-{x}") for x in ("messages", "events", "progress"))
+    made = processor.messages(_feed(spark, sf_dir))
+    made.write.parquet(source)
+    events = processor.transactions(spark.readStream.schema(made.schema).parquet(source))
+    events.writeStream.format("parquet").option("checkpointLocation", progress).outputMode("append").trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(events.schema).parquet(out).select("stream", "seq", "tx_id", "tag", "undo_start", "undo_end", "prune")
