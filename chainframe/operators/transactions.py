@@ -1,8 +1,8 @@
 """The transactional layer over whole feeds: ids, undo ranges, recovery and pruning points as joins and windows.
 
 Valid for streams in which every message carries every network, ranges are contiguous for each network, and events are
-committed at once; chainframe.streaming keeps the general state machine. Joins of watermarks with
-reorganisations go by network and block bin, so their cost follows the depth of reorganisations and the retention.
+committed at once; chainframe.streaming keeps the general state machine. Watermarks may be as rare as they like. Joins of watermarks
+with reorganisations go by network and block bin, so their cost follows the depth of reorganisations and the length of the feed.
 """
 
 from __future__ import annotations
@@ -54,13 +54,34 @@ class Marks:
         """The watermarks with killed_by (null: never)."""
         return cut(self.watermarks.join(self.killed(), ["stream", "w_id"], "left"), "watermarks")
 
+    @functools.cached_property
+    def below(self) -> DataFrame:
+        """stream, id, below: the newest surviving watermark before each watermark, and after each reorganisation (null: none).
+
+        Starts of surviving watermarks ascend, so a reorganisation takes the newest ones and watermarks are a stack: what
+        lies at a level is the last watermark that was put there.
+        """
+        w = self.alive.select("stream", "w_id", "killed_by").distinct()
+        moves = w.select("stream", F.col("w_id").alias("id"), F.lit(1).alias("step"), F.lit(True).alias("put"))
+        moves = moves.unionByName(w.where("killed_by is not null").select("stream", F.col("killed_by").alias("id"), F.lit(-1).alias("step"), F.lit(False).alias("put")))
+        moves = moves.unionByName(self.points.select("stream", F.col("r_id").alias("id"), F.lit(0).alias("step"), F.lit(False).alias("put")))
+        each = moves.groupBy("stream", "id").agg(F.sum("step").alias("step"), F.max("put").alias("put"))
+        each = each.withColumn("height", F.sum("step").over(Window.partitionBy("stream").orderBy("id")))
+        put = each.where("put").select("stream", "id", F.col("height").alias("level"), F.col("id").alias("mark"))
+        ask = each.select("stream", "id", F.when(F.col("put"), F.col("height") - 1).otherwise(F.col("height")).alias("level"), F.lit(None).cast("long").alias("mark"))
+        last = F.last("mark", ignorenulls=True).over(Window.partitionBy("stream", "level").orderBy("id"))
+        return cut(put.unionByName(ask).withColumn("below", last).where("mark is null").select("stream", "id", "below"), "below")
+
     def prunes(self) -> DataFrame:
         """stream, w_id, prune: the last watermark that lies behind the retention window of w on every network, if that moves on."""
         cutoff = F.greatest(F.lit(0), F.col("start_block") - self.retention)
-        w = self.watermarks.select("stream", "w_id", "network", cutoff.alias("cutoff")).where("cutoff > 0")
-        w = w.withColumn("bin", F.explode(F.array(F.floor((F.col("cutoff") - 1) / self.bin), F.floor((F.col("cutoff") - 1) / self.bin) - 1)))
-        v = self.alive.select("stream", "network", F.col("w_id").alias("v_id"), F.col("end_block").alias("v_end"), "killed_by").withColumn("bin", F.floor(F.col("v_end") / self.bin))
-        met = w.join(v, ["stream", "network", "bin"]).where("v_id < w_id and v_end < cutoff and (killed_by is null or killed_by > w_id)")
+        w = self.watermarks.select("stream", "w_id", "network", cutoff.alias("cutoff")).where("cutoff > 0").withColumn("bin", F.floor(F.col("cutoff") / self.bin))
+        # a watermark and the next one above it hold the cutoffs between their ends; all blocks between have messages, so bins are as few as those
+        v = self.watermarks.select("stream", "network", F.col("w_id").alias("v_id"), F.col("end_block").alias("v_end"))
+        c = self.alive.join(self.below.where("below is not null").select("stream", F.col("id").alias("w_id"), F.col("below").alias("v_id")), ["stream", "w_id"])
+        c = c.select("stream", "network", "v_id", F.col("w_id").alias("c_id"), F.col("end_block").alias("c_end"), "killed_by").join(v, ["stream", "network", "v_id"]).where("v_end < c_end")
+        c = c.withColumn("bin", F.explode(F.sequence(F.floor((F.col("v_end") + 1) / self.bin), F.floor(F.col("c_end") / self.bin))))
+        met = w.join(c, ["stream", "network", "bin"]).where("c_id <= w_id and v_end < cutoff and cutoff <= c_end and (killed_by is null or killed_by > w_id)")
         newest = met.groupBy("stream", "w_id", "network").agg(F.max("v_id").alias("v_id"))
         n = self.watermarks.groupBy("stream", "w_id").agg(F.count("*").alias("n"))
         every = newest.groupBy("stream", "w_id").agg(F.min("v_id").alias("prune"), F.count("*").alias("k")).join(n, ["stream", "w_id"]).where("k = n")
@@ -69,7 +90,7 @@ class Marks:
 
     def recoveries(self) -> DataFrame:
         """stream, r_id, recovery, floor: the newest watermark before a reorganisation that none killed so far and none pruned (null: none left)."""
-        first = self.points.groupBy("stream", "r_id").agg(F.min("network").alias("network"))
+        first = self.points.select("stream", "r_id").distinct()
         order = Window.partitionBy("stream").orderBy("id", "kind")
         marks = self.prunes().select("stream", F.col("w_id").alias("id"), F.lit(0).alias("kind"), "prune")
         floors = (
@@ -78,13 +99,10 @@ class Marks:
             .where("kind = 1")
             .select("stream", F.col("id").alias("r_id"), "floor")
         )
-        # what is neither killed nor pruned ends within the retention window before the reorganisation
-        low = F.floor(F.greatest(F.lit(0), F.col("inv_start") - 2 * self.bin) / self.bin)
-        r = self.points.join(first, ["stream", "r_id", "network"]).select("stream", "r_id", "network", F.explode(F.sequence(low, F.floor(F.col("inv_end") / self.bin))).alias("bin"))
-        w = self.alive.withColumn("bin", F.floor(F.col("end_block") / self.bin))
-        met = r.join(w, ["stream", "network", "bin"]).join(floors, ["stream", "r_id"]).where("w_id < r_id and (killed_by is null or killed_by > r_id) and (floor is null or w_id > floor)")
-        best = met.groupBy("stream", "r_id").agg(F.max("w_id").alias("recovery"))
-        return floors.join(best, ["stream", "r_id"], "left").select("stream", "r_id", "recovery", "floor")
+        # pruning takes the oldest, so if it took the newest that is left it took all
+        left = self.below.select("stream", F.col("id").alias("r_id"), "below")
+        recovery = F.when(F.col("floor").isNull() | (F.col("below") > F.col("floor")), F.col("below"))
+        return floors.join(left, ["stream", "r_id"], "left").select("stream", "r_id", recovery.alias("recovery"), "floor")
 
     def undos(self) -> DataFrame:
         """stream, r_id, undo_start, undo_end."""

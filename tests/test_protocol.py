@@ -161,3 +161,42 @@ def test_closed_forms_follow_the_state_machine(spark):
     assert tags == {k: e["tag"] for k, e in wanted.items()}
     prunes = {(x.stream, x.w_id): x.prune for x in found.prunes().collect()}
     assert prunes == {k: e["prune"] for k, e in wanted.items() if e["prune"] is not None} and prunes
+
+
+def rare_feed(seed):
+    """A random feed with few of its watermarks, so that a reorganisation's recovery point or what it prunes lies far behind."""
+    rng = random.Random(seed)
+    return [x for x in random_feed(seed, n=150) if not x[1] or rng.random() < 0.06]
+
+
+def far_feed():
+    """One watermark, many messages without any, a reorganisation."""
+    h = lambda k: f"0x{k:064x}"
+    one = lambda i: r(10 * i, 10 * i + 9, hash=h(i + 1), prev=h(i) if i else None)
+    out = [([one(i)], complete) for i in range(70) for complete in ((False, True) if i == 9 else (False,))]
+    return [*out, ([r(690, 699, hash=h(999), prev=h(998))], False)]
+
+
+def test_closed_forms_with_rare_watermarks(spark):
+    rows, wanted, far = [], {}, 0
+    feeds = {f"s{seed}": (rare_feed(seed), 20) for seed in range(12)} | {"far": (far_feed(), 20)}
+    for name, (messages, retention) in feeds.items():
+        state = StreamState(retention=retention)
+        for seq, (ranges, complete) in enumerate(messages):
+            try:
+                event = state.message(ranges, complete, 0 if complete else 1)
+            except ProtocolError:
+                break
+            state.commit(event["tx_id"])
+            rows += [(name, seq, complete, x["network"], x["start"], x["end"], x["hash"], x["prev_hash"]) for x in ranges]
+            wanted[name, event["tx_id"]] = event
+            far += event["tag"] == "Undo" and bool(state.buffer) and state.buffer[-1][1][0]["end"] < ranges[0]["start"] - 100
+    assert far > 1
+    feed = spark.createDataFrame(rows, "stream string, seq long, ranges_complete boolean, network string, start_block long, end_block long, hash string, prev_hash string").cache()
+    assert protocol.first_errors(feed).count() == 0
+    found = Marks(feed, 20)
+    undos = {(x.stream, x.r_id): (x.undo_start, x.undo_end) for x in found.undos().collect()}
+    assert undos == {k: (e["undo_start"], e["undo_end"]) for k, e in wanted.items() if e["tag"] == "Undo"} and undos
+    assert undos["far", 71] == (11, 70)
+    prunes = {(x.stream, x.w_id): x.prune for x in found.prunes().collect()}
+    assert prunes == {k: e["prune"] for k, e in wanted.items() if e["prune"] is not None} and prunes
