@@ -2,9 +2,10 @@
 
 A page is parsed into a tree. Every paragraph scores points for its length and its commas and passes them to
 its ancestors, less with each level; a container's points are discounted by the share of its text that
-lies in links. The best container is kept, with those siblings that score well beside it or read like
-text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-set aside before the scoring, by element, role and the words of class and id.
+lies in links. The best container tells where the main text is: all of the outermost article or main around it is
+kept, and with text beside that the whole part of the page they share; without an article or main, the whole page. Menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are set aside before the scoring, by element,
+role and the words of class and id; outside the best container, blocks that are mostly links and hold no running text are too.
 
 The text of what is kept is complete: character references are decoded, white space inside a block becomes one space, and blocks are
 joined in page order by one space. Null or empty pages, and pages without text, give an empty text. Repeated
@@ -57,7 +58,7 @@ _PLAIN = frozenset("a b big code em font i nobr s small span strike strong sub s
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 LEVELS = 5  # ancestors that a paragraph passes points to
 LEAST_CHARS = 25
-SIBLING_SHARE, SIBLING_CHARS = 0.2, 80
+MENU_SHARE = 0.5  # of links in a block without running text
 
 
 class Node:
@@ -223,6 +224,92 @@ def _own_text(node: Node) -> tuple[int, int]:
     return chars, commas
 
 
+def _inline(item: Node | str) -> bool:
+    return isinstance(item, str) or item.tag not in BLOCK
+
+
+def _plain_chars(node: Node) -> int:
+    """Characters of the text of a node outside its block children and outside links."""
+    chars, stack = 0, [node]
+    while stack:
+        for item in stack.pop().items:
+            if isinstance(item, str):
+                chars += len(item.strip())
+            elif item.tag not in BLOCK and item.tag != "a" and not item.dropped:
+                stack.append(item)
+    return chars
+
+
+def _with_prose(nodes: list[Node]) -> set[int]:
+    """Nodes that hold a block with running text: LEAST_CHARS characters outside links."""
+    out: set[int] = set()
+    for node in nodes:
+        up = node if node.tag in BLOCK and _plain_chars(node) >= LEAST_CHARS else None
+        while up is not None and id(up) not in out:
+            out.add(id(up))
+            up = up.parent
+    return out
+
+
+def _reads(item: Node, prose: set[int]) -> bool:
+    """Whether a block beside the main part is text: a heading, a paragraph, or what holds running text."""
+    if item.dropped or item.tag not in BLOCK or not item.chars:
+        return False
+    return id(item) in prose or item.tag in ("article", "main") or item.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and item.linked <= MENU_SHARE * item.chars
+
+
+def _outermost(node: Node | None) -> Node | None:
+    """The outermost article or main that a node is or lies in."""
+    out = None
+    while node is not None:
+        out, node = node if node.tag in ("article", "main") else out, node.parent
+    return out
+
+
+def _part_of(best: Node, root: Node, prose: set[int]) -> Node:
+    """The part of the page that is main text."""
+    part = _outermost(best)
+    if part is None:
+        return root
+    top, node = part, part
+    while node.parent is not None:
+        if any(isinstance(x, Node) and x is not node and _reads(x, prose) for x in node.parent.items):
+            top = node.parent
+        node = node.parent
+    return top
+
+
+def _leave_menus(part: Node, best: Node, prose: set[int]) -> None:
+    """Sets aside what is mostly links without running text: blocks outside best, and runs of loose text beside blocks."""
+    stack = [part]
+    while stack:
+        node = stack.pop()
+        if node is best:
+            continue
+        kept, run = [], []
+
+        def end(kept=kept, run=run):
+            linked = sum(x.chars if x.tag == "a" else x.linked for x in run if isinstance(x, Node) and not x.dropped)
+            chars = sum(len(x.strip()) if isinstance(x, str) else 0 if x.dropped else x.chars for x in run)
+            if linked <= MENU_SHARE * chars or chars - linked >= LEAST_CHARS:
+                kept.extend(run)
+            run.clear()
+
+        for item in node.items:
+            if _inline(item) and not (isinstance(item, Node) and id(item) in prose):
+                run.append(item)
+                continue
+            end()
+            if id(item) in prose:
+                stack.append(item)
+            elif item.linked > MENU_SHARE * item.chars and item is not best:
+                continue
+            kept.append(item)
+        end()
+        if any(isinstance(x, Node) and x.tag in BLOCK for x in node.items):
+            node.items = kept
+
+
 def main_text(html: str) -> str:
     """The main text of a page."""
     tree = _Tree()
@@ -247,21 +334,17 @@ def main_text(html: str) -> str:
     density = lambda n: n.linked / max(n.chars, 1)
     final = {k: n.points * (1 - density(n)) for k, n in scored.items()}
     if not final:
-        return _text_of([next((n for n in nodes if n.tag in ("article", "main")), tree.root)])
+        parts = [n for n in nodes if n.tag in ("article", "main") and _outermost(n.parent) is None]
+        return _text_of(parts or [tree.root])
     best = max(scored.values(), key=lambda n: final[id(n)])
-    if best.parent is None or best.tag in ("body", "html"):
-        return _text_of([best])
-    kept = []
-    for item in best.parent.items:
-        if item is best:
-            kept.append(item)
-        elif isinstance(item, Node) and not item.dropped:
-            chars, _ = _own_text(item)
-            heading = item.tag in ("h1", "h2", "h3") and best.parent.tag in ("article", "main", "section", "div")
-            reads = item.tag == "p" and (chars > SIBLING_CHARS and density(item) < 0.25 or 0 < chars and density(item) == 0)
-            if heading or reads or final.get(id(item), 0.0) >= max(10.0, SIBLING_SHARE * final[id(best)]):
-                kept.append(item)
-    return _text_of(kept)
+    prose = _with_prose(nodes)
+    up = best
+    while up is not None:  # the best container stays, even if it is all links
+        prose.add(id(up))
+        up = up.parent
+    part = _part_of(best, tree.root, prose)
+    _leave_menus(part, best, prose)
+    return _text_of([part])
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -36,3 +36,30 @@ def test_rows(spark, sf_dir):
     out = queries.op8_html_extraction(spark, sf_dir).collect()
     assert len(out) == pages
     assert all(r.n_chars == len(r.text) for r in out)
+
+
+TABLE = "<table><tr><th>Year</th><th>Sum</th></tr><tr><td>2001</td><td>17</td></tr></table>"
+REST = f"<h2>Second</h2><p>{P} A</p><p>{P} B</p><p>{P} C</p><ul><li>one</li><li>two</li></ul>{TABLE}<pre>a = 1</pre><h5>Small</h5><blockquote>Short.</blockquote>loose <b>words</b>"
+REST_TEXT = f"Second {P} A {P} B {P} C one two Year Sum 2001 17 a = 1 Small Short. loose words"
+LONG = "".join(f"<p>{P} {i}</p>" for i in range(100))
+LONG_TEXT = " ".join(f"{P} {i}" for i in range(100))
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><div>{}</div></main>", "<div>{}</div>", "{}"])
+@pytest.mark.parametrize("second", ["<section>{}</section>", "{}", "<div><div>{}</div></div>"])
+def test_uneven_parts_are_kept_whole(around, second):
+    menu = "<ul><li><a>Menu one</a></li><li><a>Menu two</a></li></ul>"
+    for first, last in ((f"<section>{LONG}</section>", second.format(REST)), (second.format(REST), f"<section>{LONG}</section>")):
+        got = html.main_text(f"<body>{around.format(first + last + menu)}<div class='ad'>{P}</div></body>")
+        assert got == " ".join([LONG_TEXT, REST_TEXT] if first.startswith(f"<section><p>{P} 0") else [REST_TEXT, LONG_TEXT])
+
+
+def test_parts_beside_an_article_and_short_articles():
+    page = f"<body><h1>Title</h1><p>Lead.</p><article>{LONG}</article><article><p>{P} more</p></article></body>"
+    assert html.main_text(page) == f"Title Lead. {LONG_TEXT} {P} more"
+    assert html.main_text("<body><article><p>One.</p></article><article><p>Two.</p></article></body>") == "One. Two."
+
+
+def test_a_page_of_links_keeps_its_best_part():
+    page = f"<body><div><ul><li><a>{P}</a></li><li><a>{P}</a></li></ul></div></body>"
+    assert html.main_text(page) == f"{P} {P}"
