@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -71,3 +72,48 @@ def test_empty_repeats_and_clashing_columns(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     got = secrets.scan(spark.createDataFrame([(None, "token=abcdef", "k")] * 2, "doc_id long, text string, kind string")).collect()
     assert [(r.doc_id, r.kind, r.spans[0].kind) for r in got] == [(None, "k", "assign")] * 2
+
+
+KEY = "-----BEGIN EC PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "Ab1+/=xy\n" * 2000 + "-----END EC PRIVATE KEY-----"
+LONG = {
+    "jwt": f"eyJ{'a' * 500}.eyJ{'b-_' * 3000}.{'c' * 5000}", "url": f"https://oauth2:{'p' * 400}@", "github": "ghp_" + "a1" * 200,
+    "slack": "xoxb-" + "1-a" * 300, "payment": "sk_live_" + "9" * 200, "private_key": KEY,
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_secrets_are_found_whole(spark, kind):
+    docs = spark.createDataFrame([(1, f"see {LONG[kind]} there"), (2, f"{'u' * 300}://{'u' * 150}:word@host" if kind == "url" else "")], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == kind] for r in secrets.scan(docs).collect()}
+    assert got == {1: [(4, 4 + len(LONG[kind]))], 2: [(0, 459)] if kind == "url" else []}
+
+
+#: The rules as plain expressions without a limit of length.
+FREE = {
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----)[\s\S])*-----END [A-Z ]*PRIVATE KEY-----)?",
+    "github": r"\bgh[pousr]_[A-Za-z0-9]{36,}\b", "slack": r"\bxox[abprs]-[A-Za-z0-9-]{10,}", "payment": r"\b[rs]k_live_[A-Za-z0-9]{16,}\b",
+    "jwt": r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "url": r"\b[a-z][a-z0-9+.-]+://[^\s:@/]+:[^\s:@/]+@",
+}
+
+
+def test_rules_find_what_plain_expressions_find(spark):
+    draw = random.Random(5)
+    bits = ["-----", "BEGIN ", "END ", "PRIVATE KEY", "RSA ", "-", "\n", " ", "ghp_", "a1B2" * 9, "_", "xoxb-", "sk_live_", "9" * 16, "eyJ", ".", "abcdefghijk", "http", "a", "X", "://", "u", ":", "@", "/", "+", "git+ssh", "é"]
+    whole = ["-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "http://u:p", "eyJabcdefghijk.eyJabcdefghijk.abcdefghijk", ".eyJabcdefghijk"]
+    texts = ["".join(draw.choices(bits + whole, k=draw.randrange(30))) for _ in range(3000)]
+    rules = tuple(r for r in secrets.MORE if r.kind in FREE)
+    found = 0
+    for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rules).collect():
+        want = sorted((m.start(), m.end(), kind) for kind, p in FREE.items() for m in re.finditer(p, texts[r.doc_id], re.ASCII))
+        assert sorted((s.start, s.end, s.kind) for s in r.spans) == want, texts[r.doc_id]
+        found += len(want)
+    assert found > 500
+
+
+@pytest.mark.parametrize("part", ["eyJ-", "a.", "eyJabcdefghij.", "://a:", "a://", "-----BEGIN PRIVATE KEY-----", "-----BEGIN ", "xoxb-", "sk_live_", "PRIVATE KEY ", "----BEGIN PRIVATE KEY-----\n-"])
+def test_matching_is_linear(part):
+    text = "eyJ a:// -----BEGIN " + part * (2_000_000 // len(part))
+    start = time.process_time()
+    for rule in secrets.MORE:
+        assert sum(rule.keep(m) for m in rule.compiled().finditer(text)) >= 0
+    assert time.process_time() - start < 20
