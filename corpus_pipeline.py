@@ -13,15 +13,13 @@ from chainframe.llm import jaccard, language, mixing, pii
 from chainframe.llm.common import cut, word_count
 from chainframe.llm.queries import byte_bpe_digest
 
-#: Documents whose language is told with less certainty than this are rejected, as are those without letters.
-LEAST_LANGUAGE_SCORE = 0.4
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that the model tells, and writes that language as their lang."""
+    """Writes the language that the model tells as the documents' lang. Only those without letters (or, without a model, all) have
+    none and are rejected: the score falls with each further language in a clean text, so it is no reason to reject one."""
     model = language.fit(docs.where(~language.held_out()))
     told = language.predict(docs.select("doc_id", "text", "lang", "source", "n_chars"), model)
-    kept = told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    kept = told.where(F.col("lang_pred") != language.UNKNOWN)
     return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 

@@ -67,3 +67,17 @@ def test_columns_and_empty_table(spark, sf_dir):
         docs = cut(stage(spark, docs, sf_dir), f"empty-{name.replace(' ', '-')}")
         assert docs.count() == 0
         assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == COLUMNS
+
+
+def test_mixed_language_documents_stay(spark, sf_dir):
+    parts = {
+        "en": "the quick brown fox jumps over the lazy dog and runs home", "de": "der schnelle braune fuchs springt über den faulen hund nach hause",
+        "ru": "быстрая лиса прыгает через ленивую собаку домой",
+    }
+    rows = [(i * 3 + k, t, lang, "web", len(t)) for i in range(40) for k, (lang, t) in enumerate(parts.items())]
+    mixed = {1000: " ".join(parts.values()), 1001: f"{parts['en']} {parts['de']}", 1002: f"{parts['de']} {parts['ru']}", 1003: " ".join([*parts.values()] * 2)}
+    rows += [(i, t, None, "web", len(t)) for i, t in mixed.items()] + [(2000, "12 !", None, "web", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.language_id(spark, docs, sf_dir).collect()}
+    assert {i: kept.get(i) for i in mixed} == mixed
+    assert kept.keys() == {r[0] for r in rows} - {2000}
