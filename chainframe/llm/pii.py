@@ -30,7 +30,8 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _SPACE = r"\x20\x09-\x0D"
 #: Words that may be identifiers: they hold a digit or an @.
 IDENTIFIER = r"(?<![A-Za-z0-9@])(?=[A-Za-z]*+[0-9@])[A-Za-z0-9@]++(?:[._%+/:#-]++[A-Za-z0-9@]++)*+"
-LEAST_DIGITS = 4
+#: Characters of the text at each side of a word that its patterns are taken from.
+CONTEXT = 80
 
 ROUNDS = 3
 #: A pattern counts with at least this many different identifiers, one of them supposed wrong beforehand.
@@ -59,20 +60,32 @@ BASE: dict[str, tuple[Callable[[Column], Column], str, Callable[[Column], Column
 _EMPTY = "cast(array() as array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>)"
 
 
-def matches(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
-    """Array of (start, end, value, before, after) of the matches that ``keep`` holds for; before and after: the text
-    around a match up to its neighbours, at most 80 characters."""
+def matches(text: Column, pattern: str, keep: Callable[[Column], Column], context: bool = False) -> Column:
+    """Array of (start, end, value, before, after) of the matches that ``keep`` holds for; before and after: with context, the text
+    on both sides of a match, CONTEXT characters of it, whatever else matches there."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    near, none = F.lit(CONTEXT), F.lit("")
     # one entry a match: its text and the gaps at its sides; starts are running sums of lengths
-    entries = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("n"), F.right(g, F.lit(80)).alias("before")))
-    entries = F.zip_with(entries, F.transform(F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.left(g, F.lit(80))), lambda e, g: F.struct(e["m"].alias("m"), e["n"].alias("n"), e["before"].alias("before"), g.alias("after")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(_EMPTY).alias("out"))
+    entries = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("n"), (F.right(g, near) if context else none).alias("before")))
+    if context:
+        entries = F.zip_with(entries, F.transform(F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.left(g, near)), lambda e, g: F.struct(e["m"].alias("m"), e["n"].alias("n"), e["before"].alias("before"), g.alias("after")))
+        last = F.struct(none.alias("head"), F.expr("cast(array() as array<struct<m:string,n:int,before:string,after:string>>)").alias("out"))
+
+        def back(acc, e):  # from the last match on: what follows a match goes on into later matches
+            after = F.left(F.concat(e["after"], acc["head"]), near)
+            entry = F.struct(e["m"].alias("m"), e["n"].alias("n"), e["before"].alias("before"), after.alias("after"))
+            return F.struct(F.left(F.concat(e["m"], after), near).alias("head"), F.concat(F.array(entry), acc["out"]).alias("out"))
+
+        entries = F.aggregate(F.reverse(F.filter(entries, lambda e: e["m"].isNotNull())), last, back, lambda acc: acc["out"])
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("tail"), F.expr(_EMPTY).alias("out"))
 
     def step(acc, e):
         at = acc["at"] + e["n"]
         end = at + F.length(e["m"])
-        span = F.struct(at.alias("start"), end.alias("end"), e["m"].alias("value"), e["before"].alias("before"), e["after"].alias("after"))
-        return F.struct(end.alias("at"), F.when(keep(e["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        before = F.right(F.concat(acc["tail"], e["before"]), near) if context else none
+        tail = F.right(F.concat(before, e["m"]), near) if context else none
+        span = F.struct(at.alias("start"), end.alias("end"), e["m"].alias("value"), before.alias("before"), (e["after"] if context else none).alias("after"))
+        return F.struct(end.alias("at"), tail.alias("tail"), F.when(keep(e["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(F.filter(entries, lambda e: e["m"].isNotNull()), start, step, lambda acc: acc["out"])
 
@@ -89,12 +102,12 @@ def base_spans(text: Column) -> Column:
 
 
 def _mentions(text: Column) -> Column:
-    """Identifiers of a text with the patterns that they stand in: the two words before; the word before and the one after."""
-    ends = lambda s: F.lower(F.regexp_replace(s, "[^\\p{L}\\p{N}=:#]+$", ""))
+    """Identifiers of a text with the patterns that they stand in: the two words before; the word before and the one after.
+    Runs of digits in a pattern count as the same."""
+    ends = lambda s: F.regexp_replace(F.lower(F.regexp_replace(s, "[^\\p{L}\\p{N}=:#]+$", "")), "[0-9]+", "0")
     one = lambda x: F.regexp_extract(x["before"], rf"([^{_SPACE}]+)[{_SPACE}\p{{P}}]*$", 1)
     two = lambda x: F.regexp_extract(x["before"], rf"([^{_SPACE}]+[{_SPACE}]+[^{_SPACE}]+)[{_SPACE}\p{{P}}]*$", 1)
     after = lambda x: F.regexp_extract(x["after"], rf"^[{_SPACE}\p{{P}}]*([^{_SPACE}]+)", 1)
-    pick = lambda m: (F.regexp_count(m, F.lit("[0-9]")) >= LEAST_DIGITS) | F.contains(m, F.lit("@"))
 
     def mention(x):
         patterns = F.array(
@@ -103,7 +116,7 @@ def _mentions(text: Column) -> Column:
         )
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), F.array_compact(patterns).alias("patterns"))
 
-    return F.when(text.rlike("[0-9@]"), F.transform(matches(text, IDENTIFIER, pick), mention))
+    return F.when(text.rlike("[0-9@]"), F.transform(matches(text, IDENTIFIER, lambda m: F.lit(True), context=True), mention))
 
 
 def annotate(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -68,3 +68,26 @@ def test_redact_and_edges(spark):
     got = sorted((r.doc_id or 0, r.text, r.kind) for r in pii.redact(docs).collect() if r.text)
     assert got == [(1, "to <EMAIL>, or <PHONE>.", "x"), (2, "clean", "x"), (2, "clean", "x")]
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_short_identifiers_and_numbers_beside_them(spark):
+    rows = [(i, f"please write to user{i}@mail.example.org for more") for i in range(30)]
+    rows += [(100 + i, f"customer {i} number c{i}@mail.example.org") for i in range(30)]
+    rows += [(200, "please write to gandalf99 for more"), (201, "please write to AB1 for more"), (202, "customer 5 number A12345"), (203, "room 5 is number 12 of 99")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(docs).collect()}
+    assert found[200] == [("id", 16, 25)]
+    assert found[201] == [("id", 16, 19)]
+    assert found[202] == [("id", 18, 24)]
+    assert found[203] == []
+
+
+def test_context_is_the_whole_text_around(spark):
+    draw = random.Random(3)
+    bits = ["a1", "7", "word", " ", " ", ",", "@x", "é", "\U0001f600", "\n", "z" * 90, "1-2"]
+    texts = ["".join(draw.choices(bits, k=draw.randrange(40))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.matches(docs["text"], pii.IDENTIFIER, lambda m: m != "7", context=True)
+    for r in docs.select("doc_id", found.alias("found")).collect():
+        t = texts[r.doc_id]
+        assert all((m.value, m.before, m.after) == (t[m.start : m.end], t[max(0, m.start - 80) : m.start], t[m.end : m.end + 80]) for m in r.found)
