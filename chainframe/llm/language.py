@@ -28,11 +28,11 @@ from pyspark.sql import types as T
 from chainframe.llm.common import bound_batches
 
 UNKNOWN = "und"
-#: Labelled rows that the model is fitted on, at most about this many, chosen by the hash of their key.
+#: Labelled rows that the model is fitted on, at most about this many, chosen for each label by the hash of their key and text.
 SAMPLE_ROWS = 8_000
 #: Buckets of hashed n-grams, and the n of the n-grams. The model's size is BUCKETS times the number of labels.
 BUCKETS, ORDERS = 1 << 16, (1, 2, 3, 4)
-#: Most labels that the model takes (by rows in the sample).
+#: Most labels that the model takes (by labelled rows).
 MOST_LABELS = 500
 SWITCH_PENALTY = 6.0
 #: Distinct words whose scores a worker keeps.
@@ -139,13 +139,24 @@ def _counted(rows: DataFrame, text: str, label: str) -> DataFrame:
     return rows.select(text, label).mapInArrow(run, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _quota(sizes: list[int], total: int) -> int:
+    """The largest number of rows that each label may give, as far as it has them, so that all give at most total (at least 1)."""
+    for i, n in enumerate(sorted(sizes)):
+        even = total // (len(sizes) - i)
+        if n > even:
+            return max(1, even)
+        total -= n
+    return max(1, *sizes) if sizes else 1
+
+
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """labelled: rows to learn from. Counts come to the driver by bucket and label, so their size does not follow the rows."""
     bound_batches(labelled.sparkSession)
     usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(key, text, label)
-    every = max(1, -(-usable.count() // sample_rows))
-    sample = usable.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
-    per_label = sample.groupBy(label).count().orderBy(F.desc("count"), label).limit(MOST_LABELS).collect()
+    per_label = usable.groupBy(label).count().orderBy(F.desc("count"), label).limit(MOST_LABELS).collect()
+    most = _quota([r[1] for r in per_label], sample_rows)
+    every = F.create_map(*chain.from_iterable((F.lit(name), F.lit(-(-n // most))) for name, n in per_label)) if per_label else None
+    sample = usable.where(F.pmod(F.xxhash64(key, text), every[F.col(label)]) == 0) if per_label else usable
     labels = sorted(r[0] for r in per_label)
     place = {name: i for i, name in enumerate(labels)}
     counts, scripts = np.zeros((BUCKETS, len(labels)), np.float32), {}

@@ -48,3 +48,23 @@ def test_nothing_to_learn_from(spark):
     got = language.predict(spark.createDataFrame([(1, "word", "x")], "doc_id long, text string, label string"), model).collect()
     assert [(r.lang_pred, r.score, r.label) for r in got] == [("und", 0.0, "x")]
     assert language.predict(spark.createDataFrame([], "doc_id long, text string"), model).collect() == []
+
+
+def test_rare_labels_are_learnt_from_a_bounded_sample(spark):
+    rows = [(i, f"the quick brown fox jumps over the lazy dog {i}", "en") for i in range(2000)]
+    rows += [(9000 + i, "быстрая лиса прыгает через ленивую собаку", "ru") for i in range(3)] + [(9100, "der schnelle braune fuchs springt über den faulen hund", "de")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=40)
+    assert model.labels == ["de", "en", "ru"]
+    got = language.predict(spark.createDataFrame([(1, "лиса прыгает через собаку"), (2, "braune fuchs springt über hund"), (3, "the lazy dog")], "doc_id long, text string"), model).collect()
+    assert sorted((r.doc_id, r.lang_pred) for r in got) == [(1, "ru"), (2, "de"), (3, "en")]
+    learnt = {name: model.logs[:, i] for i, name in enumerate(model.labels)}
+    assert all((x > x.min()).any() for x in learnt.values())
+
+
+def test_quota():
+    draw = np.random.default_rng(7)
+    for _ in range(200):
+        sizes, total = draw.integers(1, 50, draw.integers(1, 8)).tolist(), int(draw.integers(10, 200))
+        most = language._quota(sizes, total)
+        taken = sum(min(n, most) for n in sizes)
+        assert taken <= total and (most >= max(sizes) or sum(min(n, most + 1) for n in sizes) > total)
