@@ -5,16 +5,19 @@ equal words form one text; only distinct texts are compared:
 
 1. MinHash values in bands make buckets. At a similarity of 0.8 two texts share none with a chance of 5e-8.
 2. Buckets of the same texts are merged into one list by a fingerprint, so a group of near copies is one
-   list rather than one for each band. Long lists are cut into blocks, and each pair of blocks is a tile.
-3. A tile compares MinHash values of its pairs some at a time, and drops a pair once the posterior
-   probability that its similarity reaches the threshold falls below a tolerance. The remaining pairs are
-   verified on the n-grams themselves. A pair that shares several lists is compared in the first.
+   list rather than one for each band. Long lists, by texts or by n-grams, are cut into blocks, and each pair of blocks is a tile.
+3. A tile holds the n-grams of one block and streams the texts of the other past it. It compares MinHash values of
+   its pairs some at a time, and drops a pair once the posterior probability that its similarity reaches the threshold falls
+   below a tolerance. The remaining pairs are verified on the n-grams themselves. A pair that shares several lists is
+   compared in the first.
 4. A tile returns a row a text (its links and the smallest text it hangs together with), never a row a pair.
    Classes are the connected components of these.
 
 Words are runs without ASCII white space. A text of fewer words than n has one n-gram, all its words; a text
 without words (or null) links to nothing. Rows without a key take no part and keep a null class. Repeated rows are copies; a
-key with several texts ties these together. Further columns are left aside. An empty table gives an empty result.
+key with several texts stands for each of them on its own, and its rows come back once for each text. Further columns are left
+aside. An empty table gives an empty result. Very long texts are compared whole: a tile holds at most about BLOCK_GRAMS n-grams (or
+one text) and one text that streams past, so its memory follows neither the length of a group's texts nor their number.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainframe.llm.common import bound_batches, cut
+from chainframe.llm.common import bound_batches, cut, slices, words_digest
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -36,7 +39,10 @@ BANDS, ROWS = 32, 4
 TOLERANCE = 1e-6
 #: MinHash values compared before each look at the posterior.
 STEP = 16
-BLOCK = 1_024
+#: Texts of a block, and their n-grams (16 bytes each at most in a tile's index).
+BLOCK, BLOCK_GRAMS = 512, 2_000_000
+#: Hashes of words that a worker keeps, and postings that it adds up at a time.
+KNOWN_WORDS, POSTINGS = 50_000, 1_000_000
 _SEED = np.random.default_rng(20240229)
 _TIMES = _SEED.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLUS = _SEED.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -89,61 +95,71 @@ def prune_table(hashes: int, threshold: float, tolerance: float) -> dict[int, in
     return out
 
 
-def _common(grams: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of pairs; many pairs of the same sets go through one product of incidence matrices."""
-    if len(a) <= 64:
-        return np.array([len(np.intersect1d(grams[i], grams[j], True)) for i, j in zip(a, b, strict=True)], np.int64)
-    used = np.unique(np.concatenate([a, b]))
-    owner = np.repeat(np.arange(len(used)), [len(grams[i]) for i in used])
-    _, column, times = np.unique(np.concatenate([grams[i] for i in used]), return_inverse=True, return_counts=True)
-    shared = times > 1
-    place = np.cumsum(shared) - 1
-    owner, column = owner[shared[column]], place[column[shared[column]]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    both = np.zeros((len(used), len(used)), np.float64)
-    width = 2048
-    for at in range(0, int(shared.sum()), width):
-        lo, hi = np.searchsorted(column, [at, at + width])
-        part = np.zeros((len(used), width), np.float32)
-        part[owner[lo:hi], column[lo:hi] - at] = 1
-        both += part @ part.T
-    return both[np.searchsorted(used, a), np.searchsorted(used, b)].astype(np.int64)
-
-
-def compare(ids: np.ndarray, blocks: np.ndarray, grams: list[np.ndarray], mask: int, threshold: float, table: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (places) of a tile. blocks: 0 or 1 if the tile joins two blocks, else all 0. mask: bands of the tile's list."""
-    values = np.stack([minhash(g) for g in grams])
-    bands = values.reshape(len(ids), BANDS, ROWS)
-    out_a, out_b = [], []
-    mine = np.array([mask >> k & 1 for k in range(BANDS)], bool)
-    for i in range(len(ids) - 1):
-        others = np.arange(i + 1, len(ids))
-        if blocks.any():
-            others = others[blocks[others] != blocks[i]]
-        if not len(others):
-            continue
-        same = (bands[others] == bands[i]).all(axis=2)
+class Block:
+    """The texts that a tile holds: their n-grams and MinHash values, and an index of the n-grams once many pairs ask for it."""
+
+    def __init__(self, grams: list[np.ndarray], mask: int):
+        self.grams = grams
+        self.sizes = np.array([len(g) for g in grams], np.int64)
+        self.values = np.stack([minhash(g) for g in grams])
+        self.mine = np.array([mask >> k & 1 for k in range(BANDS)], bool)
+        self.index = None
+
+    def candidates(self, values: np.ndarray, since: int, table: dict[int, int]) -> np.ndarray:
+        """Texts from place ``since`` on that share a bucket with these values (the first such one in this tile's list) and that the posterior leaves."""
+        bands = self.values[since:].reshape(-1, BANDS, ROWS)
+        same = (bands == values.reshape(BANDS, ROWS)).all(axis=2)
         first = same.argmax(axis=1)
-        others = others[same[np.arange(len(others)), first] & mine[first]]
-        matches = np.zeros(len(others), np.int64)
+        near = since + np.flatnonzero(same[np.arange(len(same)), first] & self.mine[first])
+        matches = np.zeros(len(near), np.int64)
         for n, least in table.items():
-            if not len(others):
+            if not len(near):
                 break
-            matches += (values[others, n - STEP : n] == values[i, n - STEP : n]).sum(axis=1)
+            matches += (self.values[near, n - STEP : n] == values[n - STEP : n]).sum(axis=1)
             stay = matches >= least
-            others, matches = others[stay], matches[stay]
-        out_a.append(np.full(len(others), i))
-        out_b.append(others)
-    if not out_a:
-        return np.zeros(0, int), np.zeros(0, int)
-    a, b = np.concatenate(out_a), np.concatenate(out_b)
-    if not len(a):
-        return a, b
-    both = _common(grams, a, b)
-    sizes = np.array([len(g) for g in grams])
-    linked = both >= threshold * (sizes[a] + sizes[b] - both) - 1e-9
-    return a[linked], b[linked]
+            near, matches = near[stay], matches[stay]
+        return near
+
+    def common(self, grams: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of a set of n-grams with those of the texts near."""
+        if len(near) <= 8:
+            return np.array([_shared(grams, self.grams[i]) for i in near], np.int64)
+        if self.index is None:
+            every = np.concatenate(self.grams)
+            order = np.argsort(every, kind="stable")
+            owner = np.repeat(np.arange(len(self.grams), dtype=np.int32), self.sizes)[order]
+            every = every[order]
+            starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            self.index = every[starts], np.append(starts, len(every)), owner
+        keys, starts, owner = self.index
+        place = np.searchsorted(keys, grams)
+        place = place[keys[np.minimum(place, len(keys) - 1)] == grams]
+        first, n = starts[place], starts[place + 1] - starts[place]
+        ends = np.cumsum(n)
+        both, at = np.zeros(len(self.grams), np.int64), 0
+        while at < len(n):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + POSTINGS, "right")))
+            some = n[at:stop]
+            rows = np.repeat(first[at:stop] - (np.cumsum(some) - some), some) + np.arange(int(some.sum()))
+            both += np.bincount(owner[rows], minlength=len(both))
+            at = stop
+        return both[near]
+
+    def linked(self, grams: np.ndarray, values: np.ndarray, since: int, threshold: float, table: dict[int, int]) -> np.ndarray:
+        """Texts from place ``since`` on that a text links to."""
+        near = self.candidates(values, since, table)
+        if not len(near):
+            return near
+        both = self.common(grams, near)
+        return near[both >= threshold * (self.sizes[near] + len(grams) - both) - 1e-9]
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return int((b[place] == a).sum())
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -159,61 +175,91 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+class _Tile:
+    """Links of one tile: texts of the held block come first, then those that stream past (none if it is a block with itself)."""
+
+    def __init__(self, mask: int, within: bool, threshold: float, table: dict[int, int]):
+        self.mask, self.within, self.threshold, self.table = mask, within, threshold, table
+        self.digests, self.copies, self.grams = [], [], []
+        self.block, self.a, self.b = None, [], []
+
+    def meet(self, place: int, grams: np.ndarray, values: np.ndarray, since: int) -> None:
+        near = self.block.linked(grams, values, since, self.threshold, self.table)
+        self.a.append(np.full(len(near), place))
+        self.b.append(near)
+
+    def add(self, digest: bytes, copies: int, streams: bool, grams: np.ndarray) -> None:
+        self.digests.append(digest)
+        self.copies.append(copies)
+        if not streams:
+            self.grams.append(grams)
+            return
+        if self.block is None:
+            self.block = Block(self.grams, self.mask) if self.grams else False
+        if self.block:
+            self.meet(len(self.digests) - 1, grams, minhash(grams), 0)
+
+    def rows(self, schema: pa.Schema) -> pa.RecordBatch | None:
+        if self.within and len(self.grams) > 1:
+            self.block = Block(self.grams, self.mask)
+            for i, grams in enumerate(self.grams[:-1]):
+                self.meet(i, grams, self.block.values[i], i + 1)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (self.a, self.b))
+        if not len(a):
+            return None
+        copies, n = np.array(self.copies), len(self.digests)
+        links = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
+        # the root of a component is its smallest digest, so places go by the order of digests
+        order = sorted(range(n), key=self.digests.__getitem__)
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        root = _roots(n, rank[a], rank[b])
+        hit = np.flatnonzero(links)
+        named = [self.digests[order[root[rank[i]]]] for i in hit]
+        return pa.RecordBatch.from_arrays([pa.array([self.digests[i] for i in hit], pa.binary()), pa.array(links[hit].astype(np.int64)), pa.array(named, pa.binary())], schema=schema)
+
+
 def _tiles(tiled: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(id, links, root) of each tile. tiled: tile, mask, id, block, copies, digest, text; sorted by tile and id in its partitions."""
+    """(digest, links, root) of each tile. tiled: tile, within, mask, streams, copies, digest, text; in its partitions sorted by tile,
+    streams and digest."""
     table = prune_table(BANDS * ROWS, threshold, TOLERANCE)
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+    schema = pa.schema([("digest", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        tile, rows = None, []
-
-        def finish():
-            if len(rows) < 2:
-                return None
-            ids, blocks, copies = (np.array(x) for x in zip(*((r[0], r[1], r[2]) for r in rows), strict=True))
-            a, b = compare(ids, blocks, [r[3] for r in rows], rows[0][4], threshold, table)
-            if not len(a):
-                return None
-            links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
-            hit = np.flatnonzero(links)
-            return pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit].astype(np.int64)), pa.array(ids[_roots(len(ids), a, b)][hit])], schema=schema)
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("tile", "id", "block", "copies", "mask", "digest", "text")]
-            for name, i, block, copies, mask, digest, text in zip(*columns, strict=True):
-                if name != tile:
-                    if (out := finish()) is not None:
+        name, tile, last = None, None, None
+        for batch in slices(batches, "text"):
+            columns = [batch.column(c).to_pylist() for c in ("tile", "within", "streams", "copies", "mask", "digest", "text")]
+            for at, within, streams, copies, mask, digest, text in zip(*columns, strict=True):
+                if at != name:
+                    if tile and (out := tile.rows(schema)) is not None:
                         yield out
-                    tile, rows = name, []
-                    if len(known) > 200_000:
-                        known.clear()
-                if rows and rows[-1][0] == i or digest != _digest(text):  # a repeated row, or another text of the same key
+                    name, tile, last = at, _Tile(mask, within, threshold, table), None
+                if digest == last:  # a repeated row
                     continue
-                rows.append((i, block, copies, ngrams(text, known, n), mask))
-        if (out := finish()) is not None:
+                last = digest
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                tile.add(digest, copies, streams, ngrams(text, known, n))
+        if tile and (out := tile.rows(schema)) is not None:
             yield out
 
-    return tiled.mapInArrow(run, "id long, links long, root long")
-
-
-def _digest(text: str) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(text.encode().split()))
+    return tiled.mapInArrow(run, "digest binary, links long, root binary")
 
 
 def _sketched(docs: DataFrame, n: int) -> DataFrame:
-    """(id, digest, bands): bands is null without words."""
-    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(id, digest, grams, bands) of rows (id, digest, text); bands is null without words."""
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("grams", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for batch in batches:
-            digests, bands = [], []
+        for batch in slices(batches, "text"):
+            sizes, bands = [], []
             for text in batch.column("text").to_pylist():
-                grams = ngrams(text or "", known, n)
-                digests.append(_digest(text or ""))
-                if len(known) > 200_000:
+                if len(known) > KNOWN_WORDS:
                     known.clear()
+                grams = ngrams(text or "", known, n)
+                sizes.append(len(grams))
                 if not len(grams):
                     bands.append(None)
                     continue
@@ -222,9 +268,9 @@ def _sketched(docs: DataFrame, n: int) -> DataFrame:
                 for k in range(ROWS):
                     key = _mixed(key * _PRIME + values[:, k])
                 bands.append(key.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
 
-    return docs.mapInArrow(run, "id long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, digest binary, grams long, bands array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,36 +292,53 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """A row a document: key, ``class_id`` (the smallest key of its class), ``text_id`` (the smallest key of equal
-    words), ``n_copies`` (documents of equal words) and ``n_links`` (other documents that it links to, copies among them)."""
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """As ``join``, with ``digest`` (words_digest of the row's text) and ``root``, that of the text that its class is named by: two rows are in
+    one class if their roots are equal. root is null without words or key."""
     spark = bound_batches(docs.sparkSession, size="4m")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sketched = cut(_sketched(texts.where("id is not null"), n), "sketches")
-    classes = cut(sketched.where("bands is not null").groupBy("digest").agg(F.min(F.struct("id", "bands")).alias("x"), F.count("*").alias("copies")).select("digest", "x.id", "x.bands", "copies"), "texts")
-    buckets = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
-    shared = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("n > 1")
+    named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    sketched = cut(_sketched(named.select("id", words_digest(F.col("text")).alias("digest"), "text"), n), "sketches")
+    texts = cut(
+        sketched.where("bands is not null").groupBy("digest").agg(F.min(F.struct("id", "grams", "bands")).alias("x"), F.count("*").alias("copies")).select("digest", F.xxhash64("digest").alias("short"), "x.*", "copies"),
+        "texts",
+    )
+    # short names a text until it meets its digest again; two texts of one name are only compared more often
+    buckets = texts.select("short", "grams", F.posexplode("bands").alias("band", "bucket"))
+    shared = (
+        buckets.groupBy("band", "bucket")
+        .agg(F.count("*").alias("n"), F.sum("grams").alias("grams"), F.min("short").alias("least"), F.bit_xor(F.xxhash64("short")).alias("x"), F.bit_xor(F.xxhash64("short", F.lit(1))).alias("y"))
+        .where("n > 1")
+    )
     lists = cut(
-        shared.groupBy("n", "least", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("at"), F.expr("bit_or(shiftleft(1L, band))").alias("mask")).select("n", "mask", "at.band", "at.bucket"),
+        shared.groupBy("n", "grams", "least", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("at"), F.expr("bit_or(shiftleft(1L, band))").alias("mask")).select("n", F.col("grams").alias("all_grams"), "mask", "at.band", "at.bucket"),
         "lists",
     )
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    members = buckets.join(lists, ["band", "bucket"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    tiled = (
-        members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("tile", F.struct("band", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-        .select(F.xxhash64("tile").alias("at"), "tile", "mask", "id", (F.col("own") > F.col("other")).cast("int").alias("block"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.least("n", F.ceil(F.col("all_grams") / block_grams))).cast("int")
+    members = buckets.join(lists, ["band", "bucket"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("short", F.lit(2)), F.col("blocks")).cast("int"))
+    tiled = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.concat_ws(":", "band", "bucket", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
+        "mask",
+        "short",
+        (F.col("own") == F.col("other")).alias("within"),
+        (F.col("own") > F.col("other")).alias("streams"),
     )
-    # each text is shuffled once by its key, and then once for each of its tiles
-    known = tiled.join(classes.select("id", "digest", "copies"), "id").join(texts.where("id is not null"), "id")
+    # each text is shuffled once by its key, where repeated rows become one, and then once for each of its tiles
+    once = named.groupBy("id", words_digest(F.col("text")).alias("digest")).agg(F.first("text").alias("text"))
+    known = tiled.join(texts.select("short", "id", "digest", "copies"), "short").join(once, ["id", "digest"])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = known.select(F.concat_ws(":", "tile.band", "tile.bucket", "tile.i", "tile.j").alias("tile"), "mask", "id", "block", "copies", "digest", "text").repartition(parts, "tile").sortWithinPartitions("tile", "id")
+    met = known.select("tile", "within", "mask", "streams", "copies", "digest", "text").repartition(parts, "tile").sortWithinPartitions("tile", "streams", "digest")
     found = cut(_tiles(met, n, threshold), "links")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    rooted = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    per_text = classes.select("digest", "id", "copies").join(links, "id", "left").join(rooted, "id", "left").select("digest", F.coalesce("root", "id").alias("class_id"), F.col("id").alias("text_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
-    out = (
-        sketched.select("id", "digest", F.col("bands").isNull().alias("blank"))
+    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
+    rooted = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "digest")
+    least = rooted.join(texts.select("digest", "id"), "digest").groupBy("root").agg(F.min("id").alias("class_id"))
+    per_text = (
+        texts.select("digest", F.col("id").alias("text_id"), "copies")
+        .join(links, "digest", "left")
+        .join(rooted.join(least, "root"), "digest", "left")
+        .select("digest", F.coalesce("root", "digest").alias("root"), F.coalesce("class_id", "text_id").alias("class_id"), "text_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    )
+    return (
+        sketched.select("id", "digest")
         .join(per_text, "digest", "left")
         .select(
             F.col("id").alias(key),
@@ -283,7 +346,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORD
             F.coalesce("text_id", "id").alias("text_id"),
             F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
             F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+            "digest",
+            "root",
         )
     )
-    nameless = texts.where("id is null").select(F.col("id").alias(key), F.col("id").alias("class_id"), F.col("id").alias("text_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """A row a document: key, ``class_id`` (the smallest key of its class), ``text_id`` (the smallest key of equal
+    words), ``n_copies`` (documents of equal words) and ``n_links`` (other documents that it links to, copies among them)."""
+    out = classes(docs, key, text, n, threshold, block).drop("digest", "root")
+    nothing = F.lit(None).cast("long")
+    nameless = docs.where(F.col(key).isNull()).select(nothing.alias(key), nothing.alias("class_id"), nothing.alias("text_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(nameless)

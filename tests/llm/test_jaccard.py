@@ -58,6 +58,41 @@ def test_equals_all_pairs(spark, texts, block):
     assert got == plain(texts)
 
 
+def test_blocks_bounded_by_ngrams(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.classes(docs, block_grams=150).collect()}
+    assert got == plain(texts)
+
+
+def test_a_key_with_several_texts(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, one), (1, two), (2, one + " z"), (3, two), (3, two), (1, None), (4, None)]
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    root = {r.digest: r.root for r in got}
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r.doc_id, set()).add(root[r.digest])
+    assert len(got) == len(rows)
+    assert len(by_key[1]) == 3 and by_key[2] < by_key[1] and by_key[3] < by_key[1] and by_key[2] != by_key[3]  # tied to its own text only
+    assert sorted(r.n_links for r in got) == [0, 0, 1, 1, 2, 2, 2]
+
+
+def test_long_near_copies_in_bounded_memory():
+    """One block of long near copies: the index stays near 16 bytes an n-gram and pairs come in parts."""
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(50_000)]
+    texts = []
+    for copy in range(30):
+        words = list(base)
+        for _ in range(copy * 60):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
+        texts.append(jaccard.ngrams(" ".join(words), {}))
+    block = jaccard.Block(texts, (1 << jaccard.BANDS) - 1)
+    want = [len(set(texts[29].tolist()) & set(g.tolist())) for g in texts]
+    assert block.common(texts[29], jaccard.np.arange(30)).tolist() == want
+    assert sum(x.nbytes for x in block.index) <= 20 * sum(map(len, texts))
+
+
 def test_clashing_columns_null_keys_and_repeats(spark):
     rows = [(1, "a b c d e f", 9), (1, "a b c d e f", 9), (2, "a b c d e f", 9), (None, "a b c d e f", 9)]
     got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string, id long").withColumnsRenamed({"id": "digest"}))
