@@ -6,40 +6,42 @@ score them; a Viterbi pass over the words of the whole text with a penalty for e
 so texts in several languages come apart. The label with the most letters is the prediction, and its share
 of the letters, weighed by how sure its words are, is the score.
 
-A text that is null or has no letter is ``und`` with score 0. Ties go to the label that sorts first. Repeated
-rows, null keys and further columns are kept. An empty table gives an empty result; without
-any labelled row every text is ``und``.
+Words are runs of letters with the marks that go with them (vowel signs, accents); numerals that are no letters are in none. A text that
+is null or has no letter is ``und`` with score 0. Ties go to the label that sorts first. Repeated
+rows, null keys and further columns are kept; columns named like one of the results are replaced. An empty table gives an empty result; without
+any labelled row every text is ``und``. Very long texts are labelled whole. Any number of labels is learned: the more there are,
+the fewer buckets their n-grams share, so that the model has at most MODEL_NUMBERS numbers.
 """
 
 from __future__ import annotations
 
 import functools
-import re
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainframe.llm.common import bound_batches
+from chainframe.llm.common import bound_batches, others, slices
 
 UNKNOWN = "und"
 #: Labelled rows that the model is fitted on, at most about this many, chosen for each label by the hash of their key and text.
 SAMPLE_ROWS = 8_000
-#: Buckets of hashed n-grams, and the n of the n-grams. The model's size is BUCKETS times the number of labels.
-BUCKETS, ORDERS = 1 << 16, (1, 2, 3, 4)
-#: Most labels that the model takes (by labelled rows).
-MOST_LABELS = 500
+#: Buckets of hashed n-grams at most, the n of the n-grams, and the bound of buckets times labels.
+BUCKETS, ORDERS, MODEL_NUMBERS = 1 << 16, (1, 2, 3, 4), 1 << 23
 SWITCH_PENALTY = 6.0
 #: Distinct words whose scores a worker keeps.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
+#: Scores that a worker holds at a time.
+SCORES = 500_000
 #: Longer words (and texts without spaces) are scored in parts of this many letters.
 WORD_LETTERS = 24
-WORDS = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
+WORDS = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{WORD_LETTERS - 1}}}")
 #: The first and last code point of scripts, by their Unicode blocks.
 SCRIPTS = {
     "latin": ((0x41, 0x24F), (0x1E00, 0x1EFF)),
@@ -68,7 +70,7 @@ def script(word: str) -> str:
     return _NAMES[i] if i >= 0 and ord(word[0]) <= _LAST[i] else "other"
 
 
-def grams(words: list[str]):
+def grams(words: list[str], buckets: int = BUCKETS):
     """For each n: the bucket of the n-gram at each place of the words with their ends marked, and whether it lies in one word.
     Last, where each word starts."""
     marked = [f"<{w.lower()}>" for w in words]
@@ -81,23 +83,23 @@ def grams(words: list[str]):
         for k in range(n):
             h[: len(letters) - k] = (h[: len(letters) - k] ^ letters[k:]) * np.uint64(0x9E3779B97F4A7C15)
         ok[: len(letters) - n + 1] = word[n - 1 :] == word[: len(letters) - n + 1]
-        out.append(((h >> np.uint64(40)) % np.uint64(BUCKETS), ok))
+        out.append(((h >> np.uint64(40)) % np.uint64(buckets), ok))
     return out, np.cumsum(lengths) - lengths
 
 
 @dataclass
 class Model:
     labels: list[str]
-    logs: np.ndarray  # BUCKETS x labels: log probability of a bucket
+    logs: np.ndarray  # buckets x labels: log probability of a bucket
     scripts: dict[str, list[int]]  # labels seen with a script
 
     def words(self, words: list[str]) -> np.ndarray:
         """Log scores of the labels for each word, at most 0; labels never seen with a word's script are out of the question."""
-        step = max(1, 2_000_000 // (12 * max(1, len(self.labels))))
+        step = max(1, SCORES // (12 * max(1, len(self.labels))))
         out = np.zeros((len(words), len(self.labels)), np.float32)
         for at in range(0, len(words), step):
             some = words[at : at + step]
-            found, starts = grams(some)
+            found, starts = grams(some, len(self.logs))
             scores = sum(np.add.reduceat(np.where(ok[:, None], self.logs[bucket], np.float32(0)), starts) for bucket, ok in found)
             for i, name in enumerate(map(script, some)):
                 seen = self.scripts.get(name)
@@ -114,29 +116,29 @@ def _barred(n: int, seen: tuple[int, ...]) -> np.ndarray:
     return mask
 
 
-def _counted(rows: DataFrame, text: str, label: str) -> DataFrame:
-    """(label, bucket, n) over labelled texts, and (label, script, n) as negative buckets."""
-    schema = pa.schema([("label", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
+def _counted(rows: DataFrame, buckets: int) -> DataFrame:
+    """(label, bucket, n) over rows (text, label), and (label, script, n) as negative buckets. label: its number."""
+    schema = pa.schema([("label", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
-        for batch in batches:
-            by_label: dict[str, Counter] = {}
-            for t, name in zip(batch.column(text).to_pylist(), batch.column(label).to_pylist(), strict=True):
+        for batch in slices(batches, "text"):
+            by_label: dict[int, Counter] = {}
+            for t, name in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 by_label.setdefault(name, Counter()).update(WORDS.findall(t))
             for name, counted in by_label.items():
                 if not counted:
                     continue
                 words, times = list(counted), np.fromiter(counted.values(), np.int64, len(counted))
-                found, starts = grams(words)
+                found, starts = grams(words, buckets)
                 each = np.repeat(times, np.diff(starts, append=len(found[0][0])))
-                n = sum(np.bincount(bucket[ok].astype(np.int64), each[ok], BUCKETS) for bucket, ok in found).astype(np.int64)
+                n = sum(np.bincount(bucket[ok].astype(np.int64), each[ok], buckets) for bucket, ok in found).astype(np.int64)
                 scripts = Counter()
                 for w, k in counted.items():
                     scripts[-1 - _NUMBERED.index(script(w))] += k
-                buckets = np.flatnonzero(n)
-                yield pa.RecordBatch.from_pydict({"label": [name] * (len(buckets) + len(scripts)), "bucket": [*buckets.tolist(), *scripts], "n": [*n[buckets].tolist(), *scripts.values()]}, schema=schema)
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_pydict({"label": [name] * (len(seen) + len(scripts)), "bucket": [*seen.tolist(), *scripts], "n": [*n[seen].tolist(), *scripts.values()]}, schema=schema)
 
-    return rows.select(text, label).mapInArrow(run, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "label int, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
 
 
 def _quota(sizes: list[int], total: int) -> int:
@@ -150,27 +152,29 @@ def _quota(sizes: list[int], total: int) -> int:
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """labelled: rows to learn from. Counts come to the driver by bucket and label, so their size does not follow the rows."""
-    bound_batches(labelled.sparkSession)
-    usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(key, text, label)
-    per_label = usable.groupBy(label).count().orderBy(F.desc("count"), label).limit(MOST_LABELS).collect()
-    most = _quota([r[1] for r in per_label], sample_rows)
-    every = F.create_map(*chain.from_iterable((F.lit(name), F.lit(-(-n // most))) for name, n in per_label)) if per_label else None
-    sample = usable.where(F.pmod(F.xxhash64(key, text), every[F.col(label)]) == 0) if per_label else usable
-    labels = sorted(r[0] for r in per_label)
-    place = {name: i for i, name in enumerate(labels)}
-    counts, scripts = np.zeros((BUCKETS, len(labels)), np.float32), {}
-    found = _counted(sample, text, label).where(F.col("label").isin(labels)).toPandas() if labels else None
-    if found is not None:
-        column = found["label"].map(place).to_numpy(int)
-        bucket, n = found["bucket"].to_numpy(int), found["n"].to_numpy(float)
-        grams_only = bucket >= 0
-        counts[bucket[grams_only], column[grams_only]] = n[grams_only]
-        for b, c, k in zip(bucket[~grams_only], column[~grams_only], n[~grams_only], strict=True):
+    """labelled: rows to learn from. Counts come to the driver by bucket and label: at most MODEL_NUMBERS rows of 16 bytes, whatever the
+    number of labelled rows."""
+    spark = bound_batches(labelled.sparkSession)
+    usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("name"))
+    per_label = sorted((r[0], r[1]) for r in usable.groupBy("name").count().collect())
+    labels = [name for name, _ in per_label]
+    buckets = BUCKETS
+    while buckets > 1 and buckets * len(labels) > MODEL_NUMBERS:
+        buckets //= 2
+    counts, scripts = np.zeros((buckets, len(labels)), np.float32), {}
+    if labels:
+        most = _quota([n for _, n in per_label], sample_rows)
+        chosen = spark.createDataFrame([(name, i, -(-n // most)) for i, (name, n) in enumerate(per_label)], "name string, label int, every long")
+        sample = usable.join(F.broadcast(chosen), "name").where(F.pmod(F.xxhash64("key", "text"), F.col("every")) == 0)  # a row a label
+        found = _counted(sample.select("text", "label"), buckets).toArrow()
+        column, bucket, n = (found.column(c).to_numpy() for c in ("label", "bucket", "n"))
+        in_text = bucket >= 0
+        counts[bucket[in_text], column[in_text]] = n[in_text]
+        for b, c, k in zip(bucket[~in_text].tolist(), column[~in_text].tolist(), n[~in_text].tolist(), strict=True):
             if k >= 3:
-                scripts.setdefault(_NUMBERED[-1 - b], []).append(int(c))
-    share = (counts + 0.1) / (counts + 0.1).sum(axis=0, keepdims=True)
-    return Model(labels, np.log(share).astype(np.float32), scripts)
+                scripts.setdefault(_NUMBERED[-1 - b], []).append(c)
+    counts += np.float32(0.1)
+    return Model(labels, np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32), scripts)
 
 
 def viterbi(scores: list[np.ndarray], penalty: float = SWITCH_PENALTY) -> list[np.ndarray]:
@@ -228,8 +232,10 @@ def paths(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
     return [np.full(len(x), k) if k >= 0 else next(rest) for x, k in zip(scores, same, strict=True)]
 
 
-def _spans(text: str, path: np.ndarray, labels: list[str]) -> list[dict]:
+def _spans(text: str, last: str, path: np.ndarray, labels: list[str]) -> list[dict]:
     turns = np.flatnonzero(np.diff(path, prepend=-1)).tolist()
+    if len(turns) == 1:  # from the first word to where the last one stands last
+        return [{"lang": labels[path[0]], "start": WORDS.search(text).start(), "end": text.rindex(last) + len(last)}]
     at = [m.span() for m in WORDS.finditer(text)]
     return [{"lang": labels[path[a]], "start": at[a][0], "end": at[b - 1][1]} for a, b in zip(turns, [*turns[1:], len(path)], strict=True)]
 
@@ -249,15 +255,16 @@ def _label(texts: list[str], words: list[list[str]], scores: np.ndarray, labels:
         inside = path == pick
         odds = np.exp(score[inside].astype(np.float64))
         trust = (odds[:, pick] / odds.sum(axis=1) * letters[inside]).sum() / mass[pick]
-        out.append((labels[pick], float(min(1.0, mass[pick] / letters.sum() * trust)), _spans(text, path, labels)))
+        out.append((labels[pick], float(min(1.0, mass[pick] / letters.sum() * trust)), _spans(text, found[-1], path, labels)))
     return out
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """docs with ``lang_pred``, ``score`` and ``lang_spans`` (label, start, end in code points, end exclusive)."""
     spark = bound_batches(docs.sparkSession, size="4m")
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS x labels, whatever the number of documents
+    shared = spark.sparkContext.broadcast(model)  # at most MODEL_NUMBERS numbers, whatever the number of documents
     span = T.StructType([T.StructField("lang", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    docs = docs.select(*others(docs, "lang_pred", "score", "lang_spans"))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False), T.StructField("lang_spans", T.ArrayType(span), False)])
     arrow = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -266,8 +273,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
         labels = model.labels
         known: dict[str, int] = {}
         table = np.zeros((0, len(labels)), np.float32)
-        most = max(1, 4_000_000 // max(1, len(labels)))  # words at a time
-        for batch in batches:
+        most = max(1, SCORES // max(1, len(labels)))  # words at a time
+        for batch in slices(batches, text, most=1 << 19):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             made, group, words, n = [], [], [], 0
             for i, t in enumerate(texts):

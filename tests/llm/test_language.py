@@ -25,11 +25,32 @@ def test_mixed_text_and_edges(spark, model):
     texts = ["the brown dog runs over home der braune hund springt nach hause", "лиса домой", "", None, "123 !!", "the " * 20_000, "собаку"]
     got = {r.doc_id: r for r in language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
     assert [s.lang for s in got[0].lang_spans] == ["en", "de"]
+    assert [(s.start, s.end) for s in got[1].lang_spans] == [(0, len(texts[1]))]
+    assert [(s.start, s.end) for s in got[5].lang_spans] == [(0, len(texts[5]) - 1)]
     assert got[0].lang_spans[1].start == texts[0].index("der")
     assert (got[1].lang_pred, got[6].lang_pred, got[5].lang_pred) == ("ru", "ru", "en")
     assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (2, 3, 4))
 
 
+def test_numerals_are_no_letters_and_marks_stay_in_words(spark, model):
+    assert language.WORDS.findall("हिन्दी भाषा 12 ½ ² ① Ⅷ don't e\u0301te\u0301") == ["हिन्दी", "भाषा", "don", "t", "e\u0301te\u0301"]
+    got = language.predict(spark.createDataFrame([(i, t) for i, t in enumerate(("½", "² ①", "Ⅷ", "\u0301", "٣"))], "doc_id long, text string"), model).collect()
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in got)
+
+
+def test_clashing_columns_are_replaced(spark, model):
+    docs = spark.createDataFrame([(1, "the brown dog runs over", "x", 7)], "doc_id long, text string, Lang_Pred string, score long")
+    got = language.predict(docs, model)
+    assert got.columns == ["doc_id", "text", "lang_pred", "score", "lang_spans"]
+    assert got.first().lang_pred == "en"
+
+
+def test_many_labels_share_buckets(spark):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} " * 5, f"l{i}") for i in range(300)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.labels) == 300 and model.logs.size <= language.MODEL_NUMBERS
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(4)
     scores = [draw.normal(scale=4, size=(n, 3)).astype(np.float32) for n in (1, 4, 6, 7)]
