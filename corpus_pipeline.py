@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainframe.llm import jaccard, language, mixing, pii
-from chainframe.llm.common import cut, word_count
+from chainframe.llm.common import cut, word_count, words_digest
 from chainframe.llm.queries import byte_bpe_digest
 
 
@@ -24,16 +24,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each class. Documents without a doc_id are in no class and stay."""
-    classes = jaccard.join(docs.select("doc_id", "text"))
-    first = classes.where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]) if _repeats(docs) else docs.where("doc_id is not null")
-    return named.join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
-
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id stands on several rows."""
-    return bool(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
+    """Keeps one document of each class: that of the smallest doc_id (of several texts of it, by the texts' digest; of its repeated rows,
+    the smallest by its columns). Documents without words are alike only to themselves; those without a doc_id are in no class and stay."""
+    keyed = docs.withColumn("_digest", words_digest(F.col("text")))
+    classes = jaccard.classes(docs.select("doc_id", "text")).groupBy("doc_id", "digest").agg(F.first("root").alias("root"), F.count("*").alias("_rows"))
+    row = F.struct("doc_id", "digest", "_rows")
+    first = classes.where("root is not null").groupBy("root").agg(F.min(row).alias("x")).select("x.*")
+    kept = first.unionByName(classes.where("root is null").drop("root"))
+    met = keyed.join(kept.withColumnsRenamed({"doc_id": "_id", "digest": "_of"}), (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_of")))
+    single = met.where("_rows = 1").select(docs.columns)
+    repeated = met.where("_rows > 1").groupBy("_id", "_of").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    return single.unionByName(repeated).unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
