@@ -9,17 +9,19 @@ unsettled (one document) goes up a reduction tree, so a hot source is as many ta
 The last document of a source is rounded to the nearer side: its words end within half of it of the target.
 
 Draws are hashes of the keys and the seed: reruns and recomputed tasks agree. Null texts have no words;
-documents without words move no mass and draw alone. A null source is a source of its own. Rows that
-repeat (doc_id, source, size) are settled together, and each comes back as a row of its own.
-An empty table gives an empty result.
+documents without words move no mass and draw alone. A null source is a source of its own. Rows are told apart by all their columns, so
+a doc_id that many rows share, or none, settles each on its own; n rows that are equal in every column are n times the whole and
+fractional copies of one, of which a fraction of one row is left to be rounded. Very long texts are one unit each, whatever their length. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainframe.llm.common import cut
+from chainframe.llm.common import cut, row_hashes
+from chainframe.operators.ordered import numbered
 
 #: Units that meet in a task's bucket at a time, and so the fan-in of the reduction tree.
 FAN_IN = 64
@@ -30,24 +32,21 @@ BROADCAST_SOURCES, SALTS = 100_000, 32
 def targets(sources: DataFrame, share: float, weights: tuple[float, ...], most: float) -> DataFrame:
     """(source, source_size, ...) with ``target``: shares by weight, none above ``most`` times its source.
 
-    Sources reach their cap in the order of cap over weight; the level at which the first one stays
-    below its cap is the level of all that follow.
+    What the shares exceed their caps by is shared out again until none is above; each round is one sum over the sources.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))
-    everything = Window.partitionBy()
-    order = Window.orderBy("reaches", F.col("source").asc_nulls_last())
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        sources.withColumn("weight", weight)
-        .withColumn("cap", F.col("source_size") * float(most))
-        .withColumn("reaches", F.col("cap") / F.col("weight"))
-        .withColumn("rest", F.sum("source_size").over(everything) * float(share) - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0)))
-        .withColumn("level", F.col("rest") / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))))
-        .withColumn("place", F.row_number().over(order))
-    )
-    level = F.min(F.when(F.col("level") <= F.col("reaches"), F.struct("place", "level"))).over(everything)["level"]
-    return ranked.withColumn("target", F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap")))).select(*sources.columns, "target")
+    ranked = numbered(sources, [F.col("source").asc_nulls_last()], "rank", name="mix-ranks")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
+    ranked = cut(ranked.select(*sources.columns, weight.alias("weight"), (F.col("source_size") * float(most)).alias("cap")), "mix-caps")
+    size, open_weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    total, level = float(share) * (size or 0), 0.0
+    while open_weight and (reached := total / open_weight) > level:
+        level = reached
+        over = F.col("cap") < level * F.col("weight")
+        capped, open_weight = ranked.agg(F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight")))).first()
+        total = float(share) * size - (capped or 0.0)
+    if size and not open_weight:
+        level = float("inf")
+    return ranked.withColumn("target", F.least("cap", F.lit(level) * F.col("weight"))).select(*sources.columns, "target")
 
 
 def _uniform(seed: int, *keys) -> Column:
@@ -105,47 +104,59 @@ def _round(units: DataFrame, buckets: int, seed: int) -> DataFrame:
     return out
 
 
-def plan(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", share: float = 1.5, weights: tuple[float, ...] = (5, 2, 1), most: float = 2.0, seed: int = 17) -> DataFrame:
-    """One row per distinct (key, source, size): with ``n_rows``, ``source_size``, ``target`` and ``copies``.
+def _of_source(rows: DataFrame, sources: DataFrame, short: bool) -> DataFrame:
+    """rows with the columns of their source."""
+    named = sources.withColumnRenamed("source", "of")
+    same = F.col("source").eqNullSafe(F.col("of"))
+    if short:
+        return rows.join(F.broadcast(named), same).drop("of")
+    salted = named.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = rows.withColumn("salt", F.pmod(F.col("h1"), F.lit(SALTS)).cast("int"))
+    return met.join(salted, (F.col("salt") == F.col("of_salt")) & same).drop("of", "of_salt", "salt")
 
-    size: words of a row. copies: how often each of these rows is taken.
-    """
-    units = cut(docs.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), size.cast("long").alias("size")).groupBy("id", "source", "size").agg(F.count("*").alias("n_rows")), "mix-units")
+
+def plan(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", share: float = 1.5, weights: tuple[float, ...] = (5, 2, 1), most: float = 2.0, seed: int = 17) -> DataFrame:
+    """One row per row of docs that differs from all others: with ``h1`` and ``h2`` (row_hashes of its columns), ``n_rows`` (how often it
+    stands there), ``source_size``, ``target`` and ``copies`` (how often these rows are taken, together). size: words of a row."""
+    units = cut(
+        docs.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), size.cast("long").alias("size"), *(h.alias(f"h{i + 1}") for i, h in enumerate(row_hashes(docs, docs.columns))))
+        .groupBy("id", "source", "size", "h1", "h2")
+        .agg(F.count("*").alias("n_rows")),
+        "mix-units",
+    )
     per_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("source_size"), F.sum((F.col("size") > 0).cast("long")).alias("n_units"))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     sources = cut(
         targets(per_source, share, weights, most)
         .withColumn("rate", rate)
-        .withColumn("sure", F.floor("rate").cast("long"))
-        .withColumn("p", F.col("rate") - F.col("sure"))
         .withColumn("buckets", F.greatest(F.lit(1), F.ceil(F.col("n_units") / FAN_IN))),
         "mix-sources",
     )
     n_sources, buckets = sources.agg(F.count("*"), F.coalesce(F.max("buckets"), F.lit(1))).first()
-    if n_sources <= BROADCAST_SOURCES:
-        met = units.join(F.broadcast(sources.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    else:
-        salted = sources.withColumnRenamed("source", "of").withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64("id", "size"), F.lit(SALTS)).cast("int")
-        met = units.withColumn("salt", salt).join(salted, (F.col("salt") == F.col("of_salt")) & F.col("source").eqNullSafe(F.col("of"))).drop("of", "of_salt", "salt")
-    drawn = met.where((F.col("size") > 0) & (F.col("p") > 0))
-    rounded = _round(
-        drawn.select("source", F.struct("id", "size", "n_rows").alias("key"), (F.col("size") * F.col("n_rows")).cast("double").alias("w"), "p", F.pmod(F.xxhash64(F.lit(seed), "id", "size"), F.col("buckets")).alias("bucket")),
-        buckets,
-        seed,
-    ).select("source", "key.*", "bit")
-    alone = met.where(~((F.col("size") > 0) & (F.col("p") > 0))).select("source", "id", "size", "n_rows", (_uniform(seed, "id", "source") < F.col("p")).cast("int").alias("bit"))
-    every = rounded.unionByName(alone)
-    if n_sources <= BROADCAST_SOURCES:
-        out = every.join(F.broadcast(sources.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of")))
-    else:
-        out = every.withColumn("salt", salt).join(salted, (F.col("salt") == F.col("of_salt")) & F.col("source").eqNullSafe(F.col("of")))
-    return out.select(F.col("id").alias(key), F.col("source").alias(source), "size", "n_rows", "source_size", "target", (F.col("sure") + F.col("bit")).alias("copies"))
+    short = n_sources <= BROADCAST_SOURCES
+    due = F.col("rate") * F.col("n_rows")
+    met = _of_source(units, sources, short).withColumn("sure", F.floor(due).cast("long")).withColumn("p", due - F.floor(due))
+    fractional = (F.col("size") > 0) & (F.col("p") > 0)
+    named = F.struct("id", "size", "h1", "h2", "n_rows", "sure").alias("key")
+    drawn = met.where(fractional).select("source", named, F.col("size").cast("double").alias("w"), "p", F.pmod(F.xxhash64(F.lit(seed), "h1", "h2"), F.col("buckets")).alias("bucket"))
+    rounded = _round(drawn, buckets, seed).select("source", "key.*", "bit")
+    alone = met.where(~fractional).select("source", "id", "size", "h1", "h2", "n_rows", "sure", (_uniform(seed, "h1", "h2") < F.col("p")).cast("int").alias("bit"))
+    out = _of_source(rounded.unionByName(alone), sources, short)
+    return out.select(F.col("id").alias(key), F.col("source").alias(source), "size", "h1", "h2", "n_rows", "source_size", "target", (F.col("sure") + F.col("bit")).alias("copies"))
+
+
+def per_row(planned: DataFrame) -> DataFrame:
+    """planned with a row for each row of the documents, and ``copies`` those of the one row."""
+    rows = planned.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
+    return rows.withColumn("copies", F.floor(F.col("copies") / F.col("n_rows")) + (F.col("_row") <= F.col("copies") % F.col("n_rows")).cast("long")).drop("_row")
 
 
 def mix(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """docs with every row as often as the mix takes it; its columns as they are."""
-    decided = plan(docs, size, key, source, **options).where("copies > 0").select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    sized = docs.withColumn("_words", size.cast("long"))
-    met = sized.join(decided, F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    decided = plan(docs, size, key, source, **options).where("copies > 0").select("h1", "h2", F.col("n_rows").alias("_n"), F.col("copies").alias("_copies"))
+    h1, h2 = row_hashes(docs, docs.columns)
+    met = docs.withColumns({"_h1": h1, "_h2": h2}).join(decided, (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2")))
+    single = met.where("_n = 1").select(*docs.columns, "_copies")
+    # equal rows meet before the shuffle, and come back as one row times their copies
+    repeated = met.where("_n > 1").groupBy("_h1", "_h2").agg(*(F.first(c).alias(c) for c in docs.columns), F.first("_copies").alias("_copies")).select(*docs.columns, "_copies")
+    return single.unionByName(repeated).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)

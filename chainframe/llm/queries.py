@@ -19,8 +19,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), word_count(F.col("text")))
-    rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixing.per_row(plan).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
