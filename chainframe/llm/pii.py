@@ -6,8 +6,9 @@ the identifiers that they surround (words with digits or an @) form a graph, and
 pattern is as good as the share of its identifiers that are known, an identifier as the patterns
 it appears in. Identifiers of no base kind, met in a pattern of high confidence, are added as kind ``id``.
 
-Null texts count as empty. Rows that repeat, null keys and further columns are kept; an empty
-table gives an empty result. Positions are code points; a span's end is exclusive; spans are sorted by start, then kind.
+Null texts count as empty. Rows that repeat, null keys and further columns are kept (a column named ``spans`` is replaced); an empty
+table gives an empty result. Positions are code points; a span's end is exclusive; spans are sorted by start, then kind. Very long texts
+are searched whole, in time that grows with their length and the number of their matches.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainframe.llm.common import cut
+from chainframe.llm.common import cut, others, row_hashes
 
 #: Java patterns. Possessive repeats and \\G (where the last match ended) find what the plain expressions
 #: find, in linear time and without recursion.
@@ -37,6 +38,8 @@ ROUNDS = 3
 #: A pattern counts with at least this many different identifiers, one of them supposed wrong beforehand.
 LEAST_INSTANCES, DOUBT = 3, 1.0
 CONFIDENT = 0.8
+#: Matches whose results are put together at a time (at least CONTEXT), and characters of the segments that texts are masked in.
+CHUNK, SEGMENT = 128, 2_048
 #: Found spans of up to this many documents are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_ROWS = 10_000
 
@@ -57,37 +60,74 @@ BASE: dict[str, tuple[Callable[[Column], Column], str, Callable[[Column], Column
     "card": (lambda text: text.rlike(r"[0-9][\x20-]?[0-9]"), CARD, _is_card),
     "phone": (lambda text: text.rlike(r"\+[0-9]"), PHONE, lambda m: _digits(m).between(9, 15)),
 }
-_EMPTY = "cast(array() as array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>)"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once; inside a lambda it would be computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(items: Column, start: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """Array of emit(state before, item), state being the fold of the items by step. kind: SQL type of an array of what emit gives.
+
+    A growing array is copied at each step, so states are first carried from chunk to chunk, and each chunk then fills an array of its own.
+    """
+
+    def carry(acc, chunk):
+        after = F.aggregate(chunk, acc["state"], step)
+        return F.struct(after.alias("state"), F.concat(acc["all"], F.array(acc["state"])).alias("all"))
+
+    def fill(chunk, state):
+        nothing = F.expr(f"cast(array() as {kind})")
+        push = lambda acc, x: F.struct(step(acc["state"], x).alias("state"), F.concat(acc["out"], F.array(emit(acc["state"], x))).alias("out"))
+        return F.aggregate(chunk, F.struct(state.alias("state"), nothing.alias("out")), push, lambda acc: acc["out"])
+
+    def cut_up(all_items):
+        last = F.floor((F.size(all_items) - 1) / CHUNK).cast("int")
+        some = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_items, i * CHUNK + 1, F.lit(CHUNK)))
+        return F.when(F.size(all_items) > 0, some).otherwise(F.slice(F.array(all_items), 1, 0))
+
+    def filled(chunks):
+        states = F.aggregate(chunks, F.struct(start.alias("state"), F.slice(F.array(start), 1, 0).alias("all")), carry, lambda acc: acc["all"])
+        return F.flatten(F.zip_with(chunks, states, fill))
+
+    return _let(items, lambda x: _let(cut_up(x), filled))
 
 
 def matches(text: Column, pattern: str, keep: Callable[[Column], Column], context: bool = False) -> Column:
     """Array of (start, end, value, before, after) of the matches that ``keep`` holds for; before and after: with context, the text
     on both sides of a match, CONTEXT characters of it, whatever else matches there."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     near, none = F.lit(CONTEXT), F.lit("")
-    # one entry a match: its text and the gaps at its sides; starts are running sums of lengths
-    entries = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("n"), (F.right(g, near) if context else none).alias("before")))
-    if context:
-        entries = F.zip_with(entries, F.transform(F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.left(g, near)), lambda e, g: F.struct(e["m"].alias("m"), e["n"].alias("n"), e["before"].alias("before"), g.alias("after")))
-        last = F.struct(none.alias("head"), F.expr("cast(array() as array<struct<m:string,n:int,before:string,after:string>>)").alias("out"))
 
-        def back(acc, e):  # from the last match on: what follows a match goes on into later matches
-            after = F.left(F.concat(e["after"], acc["head"]), near)
-            entry = F.struct(e["m"].alias("m"), e["n"].alias("n"), e["before"].alias("before"), after.alias("after"))
-            return F.struct(F.left(F.concat(e["m"], after), near).alias("head"), F.concat(F.array(entry), acc["out"]).alias("out"))
+    def entries(gaps):
+        # one entry a match: its text and the gaps at its sides; starts are running sums of lengths
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        each = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("n"), (F.right(g, near) if context else none).alias("left")))
+        return F.filter(each, lambda e: e["m"].isNotNull())
+
+    def with_after(each, gaps):
+        # from the last match on: what follows a match goes on into later matches
+        nexts = F.transform(F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.left(g, near))
+        backward = F.reverse(F.zip_with(each, nexts, lambda e, g: F.struct(e["m"].alias("m"), g.alias("g"))))
+        beyond = lambda state, e: F.left(F.concat(e["g"], state), near)
+        after = F.reverse(running(backward, none, lambda state, e: F.left(F.concat(e["m"], beyond(state, e)), near), beyond, "array<string>"))
+        return F.zip_with(each, after, lambda e, x: F.struct(e["m"].alias("m"), e["n"].alias("n"), e["left"].alias("left"), x.alias("after")))
+
+    def before(state, e):
+        return F.right(F.concat(state["tail"], e["left"]), near) if context else none
 
-        entries = F.aggregate(F.reverse(F.filter(entries, lambda e: e["m"].isNotNull())), last, back, lambda acc: acc["out"])
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("tail"), F.expr(_EMPTY).alias("out"))
+    def step(state, e):
+        tail = F.right(F.concat(before(state, e), e["m"]), near) if context else none
+        return F.struct((state["at"] + e["n"] + F.length(e["m"])).alias("at"), tail.alias("tail"))
 
-    def step(acc, e):
-        at = acc["at"] + e["n"]
-        end = at + F.length(e["m"])
-        before = F.right(F.concat(acc["tail"], e["before"]), near) if context else none
-        tail = F.right(F.concat(before, e["m"]), near) if context else none
-        span = F.struct(at.alias("start"), end.alias("end"), e["m"].alias("value"), before.alias("before"), (e["after"] if context else none).alias("after"))
-        return F.struct(end.alias("at"), tail.alias("tail"), F.when(keep(e["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def emit(state, e):
+        at = state["at"] + e["n"]
+        return F.struct(at.alias("start"), (at + F.length(e["m"])).alias("end"), e["m"].alias("value"), before(state, e).alias("before"), (e["after"] if context else none).alias("after"))
 
-    return F.aggregate(F.filter(entries, lambda e: e["m"].isNotNull()), start, step, lambda acc: acc["out"])
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("tail"))
+    spans = lambda each: running(each, start, step, emit, "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>")
+    whole = lambda gaps: spans(_let(entries(gaps), lambda each: with_after(each, gaps)) if context else entries(gaps))
+    return F.filter(_let(F.split(text, pattern, -1), whole), lambda x: keep(x["value"]))
 
 
 def base_spans(text: Column) -> Column:
@@ -119,15 +159,15 @@ def _mentions(text: Column) -> Column:
     return F.when(text.rlike("[0-9@]"), F.transform(matches(text, IDENTIFIER, lambda m: F.lit(True), context=True), mention))
 
 
-def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, base, mentions) of each row, kept in the shared folder. k1, k2: hashes of the key columns and the text."""
+def _annotated(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(row, k1, k2, base, mentions), written once: the columns to keep, what tells the row apart, and what is found in its text."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(*_keys(docs, text), base_spans(t).alias("base"), _mentions(t).alias("mentions"))
+    row = (F.struct(*keep) if keep else F.struct(F.lit(0))).alias("row")
+    return cut(docs.select(row, *_keys(docs), base_spans(t).alias("base"), _mentions(t).alias("mentions")), "pii")
 
 
-def _keys(docs: DataFrame, text: str) -> list[Column]:
-    others = sorted(c for c in docs.columns if c != text)
-    return [F.xxhash64(*others, text).alias("k1"), F.xxhash64(F.lit(1), text, *others).alias("k2")]
+def _keys(docs: DataFrame) -> list[Column]:
+    return [h.alias(f"k{i + 1}") for i, h in enumerate(row_hashes(docs, docs.columns))]
 
 
 def score(mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -146,11 +186,26 @@ def score(mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return patterns
 
 
+def _judged(base: Column, mentions: Column) -> Column:
+    """The mentions with ``known``, whether a base span overlaps them: one that starts no later and ends after their start, or the next one."""
+    kind = "array<struct<start:bigint,is:int,end:bigint,value:string,patterns:array<string>,known:boolean>>"
+
+    def entry(x, is_, value, patterns, known):
+        return F.struct(x["start"].alias("start"), is_.alias("is"), x["end"].alias("end"), value.alias("value"), patterns.alias("patterns"), known.alias("known"))
+
+    nothing = F.lit(None).cast("array<string>")
+    spans = F.transform(base, lambda x: entry(x, F.lit(0), F.lit(None).cast("string"), nothing, F.lit(False)))
+    both = F.array_sort(F.concat(spans, F.transform(mentions, lambda x: entry(x, F.lit(1), x["value"], x["patterns"], F.lit(False)))))
+    marked = lambda x, hit: entry(x, x["is"], x["value"], x["patterns"], x["known"] | hit)
+    ends = running(both, F.lit(-1).cast("long"), lambda end, x: F.when(x["is"] == 0, F.greatest(end, x["end"])).otherwise(end), lambda end, x: marked(x, end > x["start"]), kind)
+    starts = running(F.reverse(ends), F.lit((1 << 63) - 1), lambda start, x: F.when(x["is"] == 0, x["start"]).otherwise(start), lambda start, x: marked(x, start < x["end"]), kind)
+    return F.filter(starts, lambda x: x["is"] == 1)
+
+
 def discover(annotated: DataFrame, confident: float = CONFIDENT) -> DataFrame:
     """(k1, k2, more): spans of kind ``id`` that patterns of high confidence found, by row."""
-    seen = annotated.where(F.size("mentions") > 0).select("k1", "k2", "base", F.explode("mentions").alias("m"))
-    known = F.exists("base", lambda b: (b["start"] < F.col("m.end")) & (F.col("m.start") < b["end"]))
-    each = cut(seen.select("k1", "k2", "m.start", "m.end", "m.value", known.alias("known"), F.explode("m.patterns").alias("pattern")), "pii-mentions")
+    seen = annotated.where(F.size("mentions") > 0).select("k1", "k2", F.explode(_judged(F.col("base"), F.col("mentions"))).alias("m"))
+    each = cut(seen.select("k1", "k2", "m.start", "m.end", "m.value", "m.known", F.explode("m.patterns").alias("pattern")), "pii-mentions")
     good = score(each.select("pattern", "value", "known")).where(F.col("confidence") >= confident)
     found = each.where("not known").join(good, "pattern")
     span = F.struct("start", F.lit(len(BASE)).alias("rank"), "end", F.lit("id").alias("kind"))
@@ -165,11 +220,8 @@ def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without the text, with ``spans``: array of (start, rank, end, kind)."""
-    keep = [c for c in docs.columns if c not in (text, "spans")]
-    t = F.coalesce(F.col(text), F.lit(""))
-    annotated = cut(docs.select(*keep, *_keys(docs, text), base_spans(t).alias("base"), _mentions(t).alias("mentions")), "pii")
-    found = discover(annotated)
-    return _joined(annotated, found).select(*keep, _all_spans().alias("spans"))
+    annotated = _annotated(docs, text, others(docs, text, "spans"))
+    return _joined(annotated, discover(annotated)).select("row.*", _all_spans().alias("spans"))
 
 
 def _all_spans() -> Column:
@@ -178,20 +230,30 @@ def _all_spans() -> Column:
 
 def mask(text: Column, spans: Column) -> Column:
     """The text with each run of overlapping spans replaced by the kind of its first one, as <EMAIL>."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    kept = F.expr("cast(null as struct<at:bigint,start:bigint,end:bigint,kind:string>)")
+    # at: where text that is not yet given out starts. A span that starts earlier belongs to the run before it.
+    step = lambda at, x: F.greatest(at, x["end"])
+    emit = lambda at, x: F.when(x["start"] >= at, F.struct(at.alias("at"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).otherwise(kept)
+    runs = F.filter(running(spans, F.lit(0).cast("long"), step, emit, "array<struct<at:bigint,start:bigint,end:bigint,kind:string>>"), lambda x: x.isNotNull())
+
+    def piece(segments, a, b):
+        first, last = F.floor(a / SEGMENT).cast("int"), F.floor(b / SEGMENT).cast("int")
+        from_, to = (a % SEGMENT).cast("int"), (b % SEGMENT).cast("int")
+        head = F.substring(F.get(segments, first), from_ + 1, F.when(first == last, to - from_).otherwise(SEGMENT))
+        middle = F.array_join(F.slice(segments, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        tail = F.when(first == last, "").otherwise(F.substring(F.coalesce(F.get(segments, last), F.lit("")), F.lit(1), to))
+        return F.concat(F.coalesce(head, F.lit("")), middle, tail)
 
-    def step(acc, x):
-        before = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        replaced = F.struct(x["end"].alias("at"), F.concat(acc["out"], before, F.lit("<"), F.upper(x["kind"]), F.lit(">")).alias("out"))
-        return F.when(x["start"] >= acc["at"], replaced).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
+    def masked(segments):
+        parts = F.transform(runs, lambda x: F.concat(piece(segments, x["at"], x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+        return F.concat(F.array_join(parts, ""), piece(segments, F.array_max(F.transform(spans, lambda x: x["end"])), F.length(text).cast("long")))
 
-    masked = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) > 0, masked).otherwise(text)
+    # in segments, a piece is found without a walk from the start of the text
+    return F.when(F.size(spans) > 0, _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SEGMENT}}}"), F.lit(0)), masked)).otherwise(text)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with personal data masked in the text; null texts stay null."""
-    annotated = cut(annotate(docs, text).where((F.size("base") > 0) | (F.size("mentions") > 0)), "pii")
-    found = discover(annotated)
-    rows = docs.withColumns({"k1": _keys(docs, text)[0], "k2": _keys(docs, text)[1], "base": base_spans(F.coalesce(F.col(text), F.lit("")))})
-    return _joined(rows, found).select(*(F.when(F.col(text).isNotNull(), mask(F.col(text), _all_spans())).alias(text) if c == text else F.col(c) for c in docs.columns))
+    annotated = _annotated(docs, text, docs.columns)
+    masked = mask(F.col(f"row.{text}"), _all_spans())
+    return _joined(annotated, discover(annotated)).select(*(masked.alias(text) if c == text else F.col(f"row.{c}") for c in docs.columns))

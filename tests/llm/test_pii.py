@@ -1,8 +1,10 @@
 """Personal data: base spans against plain expressions, and what the pattern graph adds."""
 
 import hashlib
+import math
 import random
 import re
+import time
 
 from chainframe.llm import pii, queries
 
@@ -70,6 +72,82 @@ def test_redact_and_edges(spark):
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def plain_masked(text, spans):
+    out, at = [], 0
+    for start, end, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions, contexts and masks over several chunks of matches and segments; 20,000 addresses in one row end soon."""
+    draw = random.Random(4)
+    log = " ".join(f"{draw.choice(['é', 'x', '😀' * 3])} user{i}@mail{i % 7}.example.org 10.0.{i % 256}.{i % 251}" for i in range(1_500))
+    long = "\n".join(f"from user{i}@example.org" for i in range(20_000))
+    rows = [(1, log), (2, long), (3, "z" * 5_000 + " a@b.co " + "y" * 5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.monotonic()
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    masked = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert time.monotonic() - began < 90
+    for i, text in rows:
+        base = [f"{x.kind}:{x.start}:{x.end}" for x in spans[i] if x.kind != "id"]
+        assert base == plain(text)
+        assert masked[i] == plain_masked(text, [(x.start, x.end, x.kind) for x in spans[i]])
+
+
+def test_mask_of_overlapping_spans(spark):
+    draw = random.Random(6)
+    rows = []
+    for i in range(150):
+        text = "".join(draw.choices("ab é😀\n", k=draw.choice([0, 5, 60, 2_047, 2_048, 2_049, 7_000])))
+        ends = sorted(draw.sample(range(len(text) + 1), min(len(text) + 1, 2 * draw.randrange(1, 8))))
+        spans = sorted((a, 0, min(len(text), b + draw.choice([0, 0, 3])), draw.choice(["ip", "card"])) for a, b in zip(ends[::2], ends[1::2], strict=False))
+        rows.append((i, text, spans))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
+    got = {r.doc_id: r.masked for r in docs.select("doc_id", pii.mask(docs["text"], docs["spans"]).alias("masked")).collect()}
+    assert got == {i: plain_masked(t, [(a, b, k) for a, _, b, k in spans]) for i, t, spans in rows}
+
+
+def plain_graph(mentions, rounds=pii.ROUNDS):
+    """Confidence by pattern, round by round, without Spark."""
+    edges = {}
+    for pattern, value, known in mentions:
+        edges[pattern, value] = edges.get((pattern, value), False) or known
+    known = {}
+    for (_, value), k in edges.items():
+        known[value] = known.get(value, False) or k
+    score, confidence = {v: float(k) for v, k in known.items()}, {}
+    for _ in range(rounds):
+        confidence = {}
+        for pattern in {p for p, _ in edges}:
+            mine = [v for p, v in edges if p == pattern]
+            if len(mine) >= pii.LEAST_INSTANCES:
+                confidence[pattern] = sum(score[v] for v in mine) / (len(mine) + pii.DOUBT)
+        for v in known:
+            if not known[v]:
+                score[v] = 1 - math.prod(1 - min(confidence[p], 0.99) for p, x in edges if x == v and p in confidence)
+    return confidence
+
+
+def test_the_graph_is_the_plain_one(spark):
+    draw = random.Random(9)
+    mentions = [(f"p{draw.randrange(15)}", f"v{draw.randrange(60)}", draw.random() < 0.4) for _ in range(300)]
+    got = {r.pattern: r.confidence for r in pii.score(spark.createDataFrame(mentions, "pattern string, value string, known boolean")).collect()}
+    want = plain_graph(mentions)
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a@b.co", 7, "b", "r")], "doc_id long, text string, SPANS int, base string, row string")
+    got = pii.find(docs)
+    assert got.columns == ["doc_id", "base", "row", "spans"] and got.first().base == "b"
+    assert pii.redact(docs).collect() == [(1, "<EMAIL>", 7, "b", "r")]
+
+
 def test_short_identifiers_and_numbers_beside_them(spark):
     rows = [(i, f"please write to user{i}@mail.example.org for more") for i in range(30)]
     rows += [(100 + i, f"customer {i} number c{i}@mail.example.org") for i in range(30)]
