@@ -9,12 +9,16 @@ Documents with equal votes are alike to the model, and R rules have at most 3^R
 counts patterns over all documents and the estimation works on that bounded table.
 
 Null texts have no words; every count is then 0 and base_failed is true. Repeated rows and null keys are kept;
-further columns are carried; an empty table gives an empty result.
+further columns are carried, but for those named like a result, which are replaced; an empty table gives an empty result. Very long texts
+are counted whole: a worker holds the text, its lines, some 60 bytes a word and its distinct words.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainframe.llm.common import ASCII_SPACE, bound_batches, cut
+from chainframe.llm.common import ASCII_SPACE, bound_batches, cut, others, slices
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_marks", "n_short")
+#: What the rules add to COUNTS; _votes stands for them on the way.
+RESULTS = ("p_good", "base_failed", "kept", "_votes")
 ROUNDS = 50
 #: Votes, (right, wrong), that a rule is credited with beforehand on good and on bad documents. A good
 #: document passes nearly every rule, while a bad one may fail just one of them.
@@ -33,44 +39,63 @@ CREDIT_GOOD, CREDIT_BAD = (49.0, 1.0), (2.0, 3.0)
 GOOD_SHARE = 0.8  # where the share of good documents starts
 
 
+_GAP = re.compile(rb"[\x20\t-\r]")
+
+
+def _words(data: bytes, part: int = 1 << 16) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time."""
+    at = 0
+    while at < len(data):
+        gap = _GAP.search(data, at + part)
+        stop = gap.start() if gap else len(data)
+        yield data[at:stop].split()  # bytes split at the six ASCII white spaces only
+        at = stop
+
+
+def _repeated(ids: np.ndarray, distinct: int) -> int:
+    """Words in windows of three that stand twice or more. Windows are numbered exactly, in two steps of pairs."""
+    if len(ids) < 4:
+        return 0
+    pairs = np.unique(ids[:-2] * distinct + ids[1:-1], return_inverse=True)[1]
+    _, window, times = np.unique(pairs * distinct + ids[2:], return_inverse=True, return_counts=True)
+    again = times[window] > 1
+    inside = np.zeros(len(ids), bool)
+    for k in range(3):
+        inside[k : len(again) + k] |= again
+    return int(inside.sum())
+
+
 def counts(text: str) -> tuple[int, ...]:
     """COUNTS of a text."""
-    words = text.encode().split()  # bytes split at the six ASCII white spaces only
-    n = len(words)
+    known: dict[bytes, int] = {}
+    numbers = array("q")
+    for words in _words(text.encode()):
+        numbers.extend([known.setdefault(w, len(known)) for w in words])
+    ids = np.frombuffer(numbers, np.int64) if numbers else np.zeros(0, np.int64)
+    short = np.fromiter((len(w) <= 3 and w.islower() for w in known), bool, len(known))
     lines = [line for line in text.split("\n") if line.strip(ASCII_SPACE)]
-    repeats = 0
-    windows = list(zip(words, words[1:], words[2:], strict=False))
-    if len(set(windows)) < len(windows):
-        seen: dict[tuple, int] = {}
-        again = bytearray(n)
-        for i, w in enumerate(windows):
-            first = seen.setdefault(w, i)
-            if first != i:
-                again[first] = again[first + 1] = again[first + 2] = again[i] = again[i + 1] = again[i + 2] = 1
-        repeats = sum(again)
-    upper = sum(map(str.isupper, text))
     return (
-        n,
+        len(ids),
         len(text) - sum(map(text.count, ASCII_SPACE)),
         sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)),
-        repeats,
+        _repeated(ids, len(known)),
         len(lines),
         sum(map(str.isalpha, text)),
-        upper,
+        sum(map(str.isupper, text)),
         text.count("!"),
-        sum(len(w) <= 3 and w.islower() for w in words),
+        int(short[ids].sum()),
     )
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without the text, with COUNTS."""
     bound_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c != text]
+    keep = others(docs, text, *COUNTS, *RESULTS)
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType(), False) for c in COUNTS])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             made = list(zip(*(counts(t or "") for t in batch.column(text).to_pylist()), strict=True)) or [()] * len(COUNTS)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, pa.int64()) for x in made)], names=[*keep, *COUNTS])
 
