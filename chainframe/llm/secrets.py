@@ -6,8 +6,9 @@ documents of the block that hold them), queries intersect and unite postings, an
 searched with the expression. Rules without a mandatory trigram search every document. Blocks
 are bounded in bytes and independent of each other, so the scan is one pass without a shuffle.
 
-Null texts count as empty; repeated rows, null keys and further columns are kept; an empty table gives an empty result.
-Positions are code points; a span's end is exclusive.
+Null texts count as empty; repeated rows, null keys and further columns are kept (a column named ``spans`` is replaced); an empty table
+gives an empty result. Positions are code points; a span's end is exclusive. Very long texts are a block of their own and searched whole;
+the expressions match in time that grows with the text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chainframe.llm.common import bound_batches
+from chainframe.llm.common import bound_batches, others, slices
 
 #: Sets of alternative strings larger than this are not multiplied out any further.
 MOST_ALTERNATIVES = 64
@@ -141,10 +142,19 @@ def trigrams(query) -> set[bytes]:
     return set().union(*map(trigrams, query[1]))
 
 
+class Vocabulary:
+    """The trigrams that some query names, and a mask of them that one worker makes once."""
+
+    def __init__(self, trigrams: list[bytes]):
+        self.named = np.array(sorted(int.from_bytes(t, "big") for t in trigrams), np.uint32)
+        self.wanted = np.zeros(1 << 24, bool)
+        self.wanted[self.named] = True
+
+
 class Block:
     """Postings of a block of texts for a vocabulary of trigrams."""
 
-    def __init__(self, texts: pa.Array, vocabulary: list[bytes]):
+    def __init__(self, texts: pa.Array, vocabulary: Vocabulary):
         texts = texts.cast(pa.large_string())
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.zeros(0, np.uint8)
@@ -152,10 +162,8 @@ class Block:
         offsets = offsets - (offsets[0] if len(offsets) else 0)
         folded = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint32)
         codes = (folded[:-2] << 16) | (folded[1:-1] << 8) | folded[2:] if len(folded) > 2 else np.zeros(0, np.uint32)
-        self.n, wanted = len(texts), np.zeros(1 << 24, bool)
-        named = np.array(sorted(int.from_bytes(t, "big") for t in vocabulary), np.uint32)
-        wanted[named] = True
-        at = np.flatnonzero(wanted[codes])
+        self.n, named = len(texts), vocabulary.named
+        at = np.flatnonzero(vocabulary.wanted[codes])
         rows = np.searchsorted(offsets, at, "right") - 1
         inside = at + 3 <= offsets[rows + 1]
         pairs = np.unique(codes[at[inside]].astype(np.uint64) << np.uint64(32) | rows[inside].astype(np.uint64))
@@ -179,7 +187,7 @@ class Block:
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text: str = "text") -> DataFrame:
     """docs without the text, with ``spans``: array of (kind, start, end), by start and then by the order of the rules."""
     bound_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c != text]
+    keep = others(docs, text, "spans")
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("spans", T.ArrayType(span), False)])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -189,9 +197,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text: str = "te
 
     def run(batches):
         searches = [(rule.compiled().finditer, rule.keep) for rule in rules]
-        for batch in batches:
+        known = Vocabulary(vocabulary)
+        for batch in slices(batches, text):
             texts = batch.column(text).fill_null("")
-            block, found = Block(texts, vocabulary), [[] for _ in range(batch.num_rows)]
+            block, found = Block(texts, known), [[] for _ in range(batch.num_rows)]
             for k, (query, (search, keeps)) in enumerate(zip(queries, searches, strict=True)):
                 for i in block.candidates(query).tolist():
                     found[i] += [(m.start(), k, m.end()) for m in search(texts[i].as_py()) if keeps(m)]

@@ -117,3 +117,10 @@ def test_matching_is_linear(part):
     for rule in secrets.MORE:
         assert sum(rule.keep(m) for m in rule.compiled().finditer(text)) >= 0
     assert time.process_time() - start < 20
+
+
+def test_a_column_named_spans_is_replaced(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef1", "x", 3)], "doc_id long, text string, Spans string, kind int")
+    got = secrets.scan(docs)
+    assert got.columns == ["doc_id", "kind", "spans"]
+    assert [(x.kind, x.start, x.end) for x in got.first().spans] == [("assign", 0, 13)]
