@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding by overlapping chunks.
 
-Texts of up to ``chunk_chars`` characters are encoded where they are. Longer ones are cut into chunks
-that overlap; each chunk is pre-tokenised on its own task, neighbours are stitched at the first
+Texts are cut into chunks of ``chunk_chars`` characters that overlap. A text of one chunk has no boundary to stitch and
+is encoded where it is: what the steps below give for one chunk, without its shuffle. Of longer ones, each chunk is pre-tokenised on its own task, neighbours are stitched at the first
 position in their overlap where both have a pre-token boundary, and the pieces between those positions
 are encoded in parallel. A chunk without such a position (a run longer than the overlap) is joined, with
 all that follows it, to the piece before, so the result never depends on the chunking. Decoding
 concatenates the bytes of the ids.
 
 Null texts count as empty. Repeated rows, repeated or null keys and further columns are kept as they
-are; an empty table gives an empty result. Long texts are worked on once per distinct text.
+are (a column named like a result, ``ids`` or ``decoded``, is replaced); an empty table gives an empty result. Texts of several chunks are
+worked on once per distinct text, and their memory is that of a chunk but where the ids come together.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainframe.llm.common import bound_batches
+from chainframe.llm.common import bound_batches, others, slices
 
 CHUNK_CHARS, OVERLAP_CHARS = 65_536, 1_024
 #: A boundary this near the cut end of a chunk may move when more text is seen: contractions look at three characters.
@@ -115,7 +116,7 @@ def _encode_column(df: DataFrame, column: str, data, pattern: str) -> DataFrame:
 
     def run(batches):
         encoder = _Encoder(data.value, pattern)
-        for batch in batches:
+        for batch in slices(batches, column):
             ids = pa.array((encoder.encode(t or "") for t in batch.column(column).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
 
@@ -173,8 +174,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
     spark = bound_batches(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         data = spark.sparkContext.broadcast(f.read())
-    keep = [c for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keep = others(docs, text, "ids")
+    rows = docs.select((F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     short = _encode_column(rows.where(F.length("text") <= chunk_chars), "text", data, pattern)
     keyed = rows.where(F.length("text") > chunk_chars).withColumn("text_key", F.sha2("text", 256))
     # distinct long texts: equal copies meet before the shuffle and are chunked once
@@ -182,13 +183,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
     pieces = _encode_column(_pieces(long, pattern, chunk_chars, overlap_chars).repartition("text_key", "start"), "piece", data, pattern)
     whole = pieces.groupBy("text_key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "ids"))), lambda x: x["ids"])).alias("ids"))
     joined = keyed.select("row", "text_key").join(whole, "text_key").select("row", "ids")
-    return short.unionByName(joined).select("row.*", "ids")
+    return short.unionByName(joined).select(*([F.col("row.*")] if keep else []), "ids")
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for, as binary (null ids: empty)."""
     with open(vocabulary, "rb") as f:
         data = df.sparkSession.sparkContext.broadcast(f.read())
+    df = df.select(*others(df, out))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType(), False)])
 
     def run(batches):

@@ -53,3 +53,11 @@ def test_empty_and_clashing_columns(spark):
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), PATH, public_tokenizers.PATTERN).collect() == []
     got = bpe.encode(spark.createDataFrame([(None, "a b " * 50, 7)] * 2, "doc_id long, text string, chunk long"), PATH, public_tokenizers.PATTERN, chunk_chars=20, overlap_chars=8)
     assert [(r.doc_id, r.chunk, list(r.ids)) for r in got.collect()] == [(None, 7, PLAIN.encode_ordinary("a b " * 50))] * 2
+
+
+def test_columns_named_like_results_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, ids string, Decoded string")
+    got = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH)
+    assert got.columns == ["doc_id", "ids", "decoded"]
+    assert (list(got.first().ids), bytes(got.first().decoded)) == (PLAIN.encode_ordinary("a b"), b"a b")
+    assert bpe.encode(docs.select("text"), PATH, public_tokenizers.PATTERN).columns == ["ids"]
