@@ -54,7 +54,8 @@ def row_hashes(df: DataFrame, columns: list[str]) -> list[Column]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20, rows: int = 1_024) -> Iterator[pa.RecordBatch]:
-    """The batches in parts whose texts hold at most so many bytes (a longer text is a part of its own)."""
+    """The batches in parts whose texts hold at most so many bytes (a longer text is a part of its own). Workers serve one
+    operator after the other, so at the end what the parts took is given back."""
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -63,3 +64,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20,
             stop = min(max(stop, at + 1), at + rows)
             yield batch.slice(at, stop - at)
             at = min(stop, batch.num_rows)
+    pa.default_memory_pool().release_unused()

@@ -36,9 +36,9 @@ SAMPLE_ROWS = 8_000
 BUCKETS, ORDERS, MODEL_NUMBERS = 1 << 16, (1, 2, 3, 4), 1 << 23
 SWITCH_PENALTY = 6.0
 #: Distinct words whose scores a worker keeps.
-KNOWN_WORDS = 50_000
+KNOWN_WORDS = 200_000
 #: Scores that a worker holds at a time.
-SCORES = 500_000
+SCORES = 1_000_000
 #: Longer words (and texts without spaces) are scored in parts of this many letters.
 WORD_LETTERS = 24
 WORDS = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{WORD_LETTERS - 1}}}")
@@ -180,37 +180,56 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
 def viterbi(scores: list[np.ndarray], penalty: float = SWITCH_PENALTY) -> list[np.ndarray]:
     """The best label of each word, for many texts at once. scores: words x labels for each text.
 
-    Texts of like length move together, a word at a time; a text's result does not depend on the others.
+    Texts of like length move together, a word at a time, and the few longest go on alone; a text's result does not depend on the others.
     """
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
     order = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: -len(scores[i]))
     for at in range(0, len(order), 256):
         group = order[at : at + 256]
         n = np.array([len(scores[i]) for i in group])
-        best = np.stack([scores[i][0] for i in group])
+        best = np.stack([scores[i][0] for i in group]).astype(np.float64)
+        few = max(1, 32 // best.shape[1])
         came = [np.zeros(best.shape, np.int16)]
         flat, first = np.concatenate([scores[i] for i in group]), np.concatenate([[0], np.cumsum(n)[:-1]])
         own = np.arange(best.shape[1], dtype=np.int16)
-        for t in range(1, int(n[0])):
-            live = int(np.searchsorted(-n, -t, "left"))  # texts longer than t words
-            now = best[:live]
+        live = np.searchsorted(-n, -np.arange(int(n[0])), "left")  # texts longer than t words
+        live[0] = len(group)
+        together = int(np.searchsorted(-live, -few, "right")) or 1  # words that at least so many texts have
+        for t in range(1, together):
+            now = best[: live[t]]
             top = now.argmax(axis=1)
-            jump = now[np.arange(live), top] - penalty
+            jump = now[np.arange(live[t]), top] - penalty
             switch = jump[:, None] > now
             came.append(np.where(switch, top[:, None].astype(np.int16), own))
-            best[:live] = np.where(switch, jump[:, None], now) + flat[first[:live] + t]
+            best[: live[t]] = np.where(switch, jump[:, None], now) + flat[first[: live[t]] + t]
         label = best.argmax(axis=1)
         paths = np.zeros(len(flat), np.int64)
-        for t in range(int(n[0]) - 1, -1, -1):
-            live = int(np.searchsorted(-n, -t, "left")) if t else len(group)
-            paths[first[:live] + t] = label[:live]
+        for i in np.flatnonzero(n > together).tolist():
+            label[i], paths[first[i] + together : first[i] + n[i]] = _alone(best[i].tolist(), flat[first[i] + together : first[i] + n[i]].tolist(), penalty)
+        for t in range(together - 1, -1, -1):
+            paths[first[: live[t]] + t] = label[: live[t]]
             if t:
-                label[:live] = came[t][np.arange(live), label[:live]]
+                label[: live[t]] = came[t][np.arange(live[t]), label[: live[t]]]
         for i, a, k in zip(group, first, n, strict=True):
             out[i] = paths[a : a + k]
     return out
 
 
+def _alone(best: list[float], rows: list[list[float]], penalty: float) -> tuple[int, list[int]]:
+    """(label before, labels of the rows): the pass of one text on from the values best."""
+    came, own = [], range(len(best))
+    for row in rows:
+        high = max(best)
+        jump, top = high - penalty, best.index(high)
+        came.append([top if jump > b else k for k, b in zip(own, best, strict=True)])
+        best = [(jump if jump > b else b) + x for b, x in zip(best, row, strict=True)]
+    label, path = best.index(max(best)), []
+    for back in reversed(came):
+        path.append(label)
+        label = back[label]
+    return label, path[::-1]
+
+
 def settled(scores: np.ndarray, penalty: float) -> int:
     """The label of a text that keeps one throughout, or -1 if only the Viterbi pass can tell.
 
@@ -232,12 +251,16 @@ def paths(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
     return [np.full(len(x), k) if k >= 0 else next(rest) for x, k in zip(scores, same, strict=True)]
 
 
-def _spans(text: str, last: str, path: np.ndarray, labels: list[str]) -> list[dict]:
+def _spans(text: str, words: list[str], path: np.ndarray, labels: list[str]) -> list[dict]:
     turns = np.flatnonzero(np.diff(path, prepend=-1)).tolist()
     if len(turns) == 1:  # from the first word to where the last one stands last
-        return [{"lang": labels[path[0]], "start": WORDS.search(text).start(), "end": text.rindex(last) + len(last)}]
-    at = [m.span() for m in WORDS.finditer(text)]
-    return [{"lang": labels[path[a]], "start": at[a][0], "end": at[b - 1][1]} for a, b in zip(turns, [*turns[1:], len(path)], strict=True)]
+        return [{"lang": labels[path[0]], "start": text.index(words[0]), "end": text.rindex(words[-1]) + len(words[-1])}]
+    at, starts, find = 0, [], text.find
+    for w in words:  # no letter stands between a word and the next, so that is where its letters are found next
+        at = find(w, at)
+        starts.append(at)
+        at += len(w)
+    return [{"lang": labels[path[a]], "start": starts[a], "end": starts[b - 1] + len(words[b - 1])} for a, b in zip(turns, [*turns[1:], len(path)], strict=True)]
 
 
 def _label(texts: list[str], words: list[list[str]], scores: np.ndarray, labels: list[str], penalty: float) -> list[tuple]:
@@ -255,7 +278,7 @@ def _label(texts: list[str], words: list[list[str]], scores: np.ndarray, labels:
         inside = path == pick
         odds = np.exp(score[inside].astype(np.float64))
         trust = (odds[:, pick] / odds.sum(axis=1) * letters[inside]).sum() / mass[pick]
-        out.append((labels[pick], float(min(1.0, mass[pick] / letters.sum() * trust)), _spans(text, found[-1], path, labels)))
+        out.append((labels[pick], float(min(1.0, mass[pick] / letters.sum() * trust)), _spans(text, found, path, labels)))
     return out
 
 
@@ -274,7 +297,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
         known: dict[str, int] = {}
         table = np.zeros((0, len(labels)), np.float32)
         most = max(1, SCORES // max(1, len(labels)))  # words at a time
-        for batch in slices(batches, text, most=1 << 19):
+        for batch in slices(batches, text, most=1 << 21, rows=4_096):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             made, group, words, n = [], [], [], 0
             for i, t in enumerate(texts):

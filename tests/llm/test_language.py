@@ -64,6 +64,25 @@ def test_viterbi_is_the_best_path():
         assert value(x, path) == pytest.approx(best, abs=1e-3)
 
 
+def test_spans_stand_where_their_words_do():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        text = "".join(draw.choice(["a", "b", "ab", " ", "1", "e\u0301", "\u0301", "x" * 30, "-"], draw.integers(1, 30)))
+        words = list(language.WORDS.finditer(text))
+        path = draw.integers(0, 2, len(words))
+        if len(words):
+            turns = [i for i in range(len(words)) if i == 0 or path[i] != path[i - 1]]
+            want = [(words[a].start(), words[b - 1].end()) for a, b in zip(turns, [*turns[1:], len(words)], strict=True)]
+            assert [(s["start"], s["end"]) for s in language._spans(text, [w[0] for w in words], path, ["x", "y"])] == want
+
+
+def test_a_text_does_not_depend_on_its_neighbours():
+    draw = np.random.default_rng(8)
+    scores = [draw.normal(scale=4, size=(n, 4)).astype(np.float32) for n in draw.integers(1, 90, 40).tolist() + [700, 400]]
+    together = language.viterbi(scores, 6.0)
+    assert all((a == language.viterbi([x], 6.0)[0]).all() for a, x in zip(together, scores, strict=True))
+
+
 def test_nothing_to_learn_from(spark):
     model = language.fit(spark.createDataFrame([(1, None, "en"), (2, "a", None)], "doc_id long, text string, lang string"))
     got = language.predict(spark.createDataFrame([(1, "word", "x")], "doc_id long, text string, label string"), model).collect()
