@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainframe.llm import ann, bpe, html, jaccard, language, mixing, pii, quality, secrets, warc
-from chainframe.llm.common import word_count
+from chainframe.llm.common import cut, word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,8 @@ def byte_bpe_digest(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
+    # written, so that a task encodes or decodes and holds one worker's memory, and no lost decoding encodes again
+    encoded = cut(bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN), "bpe-ids")
     return bpe.decode(encoded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
