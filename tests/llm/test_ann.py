@@ -1,6 +1,8 @@
 """Approximate nearest neighbours: exact scores and order, recall against brute force, odd vectors."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from chainframe.llm import ann, queries
@@ -47,6 +49,51 @@ def test_odd_vectors_ties_and_few_candidates(spark):
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 0.0)]
 
 
+def test_lengths_and_precision(spark):
+    """Vectors meet those of their length; double components count in full."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0 + 1e-9]), (2, [0.6, 0.8]), (50, [1.0, 0.0, 0.0]), (51, [1.0, 1.0, 1.0]), (52, [0.0, 1.0, 0.0]), (100, [1.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got}
+    assert {k: v[0] for k, v in found.items()} == {(0, 1): 1, (0, 2): 2, (50, 1): 51, (50, 2): 52}
+    assert abs(found[0, 1][1] - 1 / np.sqrt(1 + (1 + 1e-9) ** 2)) < 1e-15
+
+
+def clustered(n, dim, size, noise, seed=1):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(n // size, dim))
+    centres /= np.sqrt((centres**2).sum(1, keepdims=True))
+    return (np.repeat(centres, size, 0) + noise * draw.normal(size=(n, dim)) / np.sqrt(dim)).astype(np.float32)
+
+
+@pytest.mark.parametrize(("size", "noise"), [(256, 0.15), (2048, 0.15), (4096, 0.3), (1, 0.0)])
+def test_recall_in_clusters_and_answers_that_batches_do_not_change(spark, size, noise):
+    vectors = clustered(32_768, 64, size, noise)
+    ids = np.arange(len(vectors))
+    frame = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": pa.FixedSizeListArray.from_arrays(vectors.ravel(), 64).cast(pa.list_(pa.float32()))}))
+    want = brute(ids, vectors.astype(float), ids[ids % 500 == 0])
+    held, answers = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+    for rows, parts in ((700, 3), (4096, 7)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        answers.append(sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(frame, F.col("vec_id") % 500 == 0).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert answers[0] == answers[1]
+    got = {}
+    for q, _, v, _ in answers[0]:
+        got.setdefault(q, set()).add(v)
+    hits = sum(len(got[q] & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.999 * 5 * len(want)
+
+
+def test_the_bound_spares_most_vectors():
+    vectors = ann._unit(clustered(8_192, 64, 1, 0.0).astype(float))
+    books = ann.fit(vectors[:2000])
+    tile = ann._Tile(np.arange(64) + 10**6, vectors[:64], books, 5, 1.0)
+    tile.meet(np.arange(8_192), vectors, *ann.encode(vectors, books))
+    assert tile.reranked < 0.06 * 64 * 8_192
+
+
 def test_a_crowd_of_equal_vectors(spark):
     rows = [(i, [0.5, 0.25, 1.0, 0.0]) for i in range(700)] + [(1000 + i, [float(np.cos(i)), float(np.sin(i)), 0.0, 0.1]) for i in range(50)]
     got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 100).orderBy("rank").collect()
