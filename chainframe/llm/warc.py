@@ -3,8 +3,8 @@
 Writing: each row becomes one WARC/1.1 record holding an HTTP response whose body is the page in UTF-8,
 compressed as a gzip member of its own. Of rows with equal bodies of at least ``min_revisit_bytes`` the one
 with the smallest key becomes the response and the others become revisit records without a body that name
-it; smaller bodies are all responses. Records are dealt to archives by the hash of their key, so no host or
-popular body makes one archive large. Tasks stream their archives to the shared folder, in any store that
+it; smaller bodies are all responses. Records are dealt to archives by the hash of their key and digest, so no host,
+popular body or missing key makes one archive large; only rows that are equal in both share one. Tasks stream their archives to the shared folder, in any store that
 pyarrow opens, and the index (file, offset, length, url, digest and key of each record) is written as
 Parquet before anything is read.
 
@@ -14,7 +14,8 @@ index.
 
 Null bodies are empty payloads; a null url leaves the header out; control characters in urls are percent-encoded. Rows with a
 null key are responses or revisits like others, after all other keys. Repeated rows each get a record; of
-equal keys with equal bodies one is the response. Further columns are left aside; an empty table makes an empty index.
+equal keys with equal bodies one is the response. Further columns are left aside; an empty table makes an empty index. Very long bodies
+are one record, which a task holds whole.
 """
 
 from __future__ import annotations
@@ -37,9 +38,11 @@ MIN_REVISIT_BYTES = 100
 #: Bodies of an archive; small inputs are dealt to as many archives as there are shuffle partitions.
 ARCHIVE_BYTES, LEAST_RECORDS = 256 << 20, 256
 LEVEL = 4  # of gzip
-#: Selected records less than GAP bytes apart are read at once, up to READ bytes.
-GAP, READ = 16_384, 1 << 20
+#: Selected records less than GAP bytes apart are read at once, up to READ bytes; a task reads about TASK bytes.
+GAP, READ, TASK = 16_384, 1 << 20, 64 << 20
 SALTS = 64
+#: Digests that repeat (80 bytes each) are broadcast up to this many; with more, the bodies of revisits go along to be left out later.
+BROADCAST_ROWS = 100_000
 _DATE = "2026-01-01T00:00:00Z"
 _ENTRY = "key string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
@@ -73,21 +76,22 @@ def _head() -> Column:
     )
 
 
-def _named(rows: DataFrame, min_bytes: int, n_archives: int) -> DataFrame:
-    """What the records will be, and their place among equal ones; no body is moved for it.
-
-    The smallest key of a digest is found by partial aggregation over salts, and each salt's row carries
-    it back, so a popular body is as many keys of the join as it has salts.
-    """
+def _firsts(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """(payload_digest, salt, first): the smallest key of each digest that repeats. It is found by partial aggregation over salts, and each
+    salt's row carries it back, so a popular body is as many keys of the join as it has salts."""
     large = rows.where(F.col("payload_bytes") >= min_bytes)
     parts = large.groupBy("payload_digest", "salt").agg(F.min("key_value").alias("least"), F.count("*").alias("n"))
     whole = parts.groupBy("payload_digest").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
-    known = parts.select("payload_digest", "salt").join(whole, "payload_digest").withColumn("repeats", F.lit(True))
+    return cut(parts.select("payload_digest", "salt").join(whole, "payload_digest").withColumn("repeats", F.lit(True)), "warc-firsts")
+
+
+def _named(rows: DataFrame, known: DataFrame, n_archives: int) -> DataFrame:
+    """What the records will be, and their place among equal ones; no body is moved for it."""
     same = Window.partitionBy("archive", "key_value", "payload_digest").orderBy("url")
     opens = F.col("repeats").isNull() | (F.col("key_value").eqNullSafe(F.col("first")) & (F.col("at") == 1))
     return (
         rows.join(known, ["payload_digest", "salt"], "left")
-        .repartition(n_archives, "archive")
+        .repartitionById(n_archives, F.col("archive"))
         .withColumn("at", F.row_number().over(same))
         .withColumn("record_type", F.when(opens, "response").otherwise("revisit"))
         .withColumn("key", F.coalesce(F.col("key_value").cast("string"), F.lit("null")))
@@ -110,19 +114,25 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str =
         F.col(url).cast("string").alias("url"),
         F.octet_length(text).cast("long").alias("payload_bytes"),
         F.sha2(text, 256).alias("payload_digest"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(n_archives)).cast("int").alias("archive"),
         text.alias("body"),
-    )
+    ).withColumn("archive", F.pmod(F.xxhash64("payload_digest", "key_value"), F.lit(n_archives)).cast("int"))
     salt = F.pmod(F.xxhash64("key_value", F.lit(7)), F.lit(SALTS))
-    named = cut(_named(rows.drop("body").withColumn("salt", salt), min_revisit_bytes, n_archives), "warc-records")
+    salted = rows.withColumn("salt", salt)
+    known = _firsts(salted.drop("body"), min_revisit_bytes)
+    named = cut(_named(salted.drop("body"), known, n_archives), "warc-records")
     # What is known of the records travels with the bodies instead of being joined to them: so one
     # shuffle by archive serves the lookup, the order of the records and the files.
     bodies = rows.select("archive", "key_value", "payload_digest", "body")
+    repeated = known.select("payload_digest", "first").distinct().limit(BROADCAST_ROWS + 1)
+    if repeated.count() <= BROADCAST_ROWS:  # short enough to tell before the shuffle which bodies no record will hold
+        again = F.col("_digest").isNotNull() & ~F.col("key_value").eqNullSafe(F.col("first"))
+        met = bodies.join(F.broadcast(repeated.withColumnRenamed("payload_digest", "_digest")), F.col("payload_digest") == F.col("_digest"), "left")
+        bodies = met.where(~again).select("archive", "key_value", "payload_digest", "body")
     same = Window.partitionBy("archive", "key_value", "payload_digest").orderBy(F.col("place").asc_nulls_first())
     records = (
         named.unionByName(bodies, allowMissingColumns=True)
-        .repartition(n_archives, "archive")
-        .withColumn("body", F.first("body").over(same))
+        .repartitionById(n_archives, F.col("archive"))
+        .withColumn("body", F.coalesce(F.first("body").over(same), F.lit("")))
         .where(F.col("place").isNotNull())
         .sortWithinPartitions("archive", "key_value", "payload_digest", "place")
         .select("archive", "key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", F.concat(_head(), F.when(F.col("record_type") == "response", F.col("body")).otherwise(""), F.lit(END)).alias("record"))
@@ -193,7 +203,9 @@ def read(path: str, index: DataFrame, payload: bool = False) -> DataFrame:
     """Reads the records that the index rows name. key, url, payload_bytes, payload_digest, record_type, refers_to;
     payload: with the bytes too."""
     bound_batches(index.sparkSession)
-    wanted = ranges(index).repartition("file", "start")
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // TASK)
+    # a stated number of partitions: the rows are small, what they stand for is not
+    wanted = ranges(index).repartition(max(1, tasks, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "file", "start")
     fields = ["key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
