@@ -6,10 +6,14 @@ lies in links. The best container tells where the main text is: all of the outer
 kept, and with text beside that the whole part of the page they share; without an article or main, the whole page. Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are set aside before the scoring, by element,
 role and the words of class and id; outside the best container, blocks that are mostly links and hold no running text are too.
+Words of class and id alone do not decide against a page's text: an element that another of its names calls content (class="post tags-x"), or
+that holds most of the page's paragraph text where no article or main lies beside it, is kept and only loses points; one named for comments
+or page furniture needs both.
 
 The text of what is kept is complete: character references are decoded, white space inside a block becomes one space, and blocks are
 joined in page order by one space. Null or empty pages, and pages without text, give an empty text. Repeated
-rows, null keys and further columns are kept. Parsing and walking are iterative, so deeply nested pages pass.
+rows, null keys and further columns are kept; a column named ``text`` is replaced; an empty table gives an empty result. Parsing and
+walking are iterative, so deeply nested and very long pages pass whole.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chainframe.llm.common import bound_batches
+from chainframe.llm.common import bound_batches, others, slices
 
 # Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +45,14 @@ DROPPED_WORDS = frozenset(
     " promoted promotion recommended related replies reply respond share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe"
     " subscription tags toolbar topbar widget".split()
 )
+#: Those of them that name what is never part of an article, however long it is.
+STRONG_WORDS = frozenset(
+    "breadcrumb breadcrumbs comment comments commentlist consent cookie cookies discussion disqus footer gdpr masthead menu modal nav navbar navigation"
+    " overlay pager pagination paywall popup replies reply respond shoutbox sidebar toolbar topbar".split()
+)
+#: Names of nothing but these call an element content.
+CONTENT_WORDS = frozenset("article articles body content contents entry hentry main post posts story text".split())
+PENALTY = 25.0  # points that a kept element loses for a word of DROPPED_WORDS
 #: Elements that hold a page's content whatever their class says.
 HELD = frozenset("html body main article".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section figcaption".split())
@@ -58,26 +70,28 @@ _PLAIN = frozenset("a b big code em font i nobr s small span strike strong sub s
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 LEVELS = 5  # ancestors that a paragraph passes points to
 LEAST_CHARS = 25
+LEAST_SPARED = 200  # characters of paragraphs that speak for an element whose name speaks against it
 MENU_SHARE = 0.5  # of links in a block without running text
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "dropped", "points", "chars", "linked")
+    __slots__ = ("tag", "attrs", "parent", "items", "dropped", "named", "points", "chars", "linked", "prose")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.items: list[Node | str] = []
-        self.dropped, self.points, self.chars, self.linked = False, 0.0, 0, 0
+        self.dropped, self.named, self.points, self.chars, self.linked, self.prose = False, "", 0.0, 0, 0, 0
+
+
+def names_of(attrs: dict) -> list[list[str]]:
+    """The names of class and id in words; names like has-sidebar or no-comments tell of a page's layout and are left out."""
+    names = ([w.lower() for w in _WORD.findall(name)] for name in " ".join(attrs.get(k) or "" for k in ("class", "id")).split())
+    return [words for words in names if words and words[0] not in ("has", "with", "no", "without")]
 
 
 def words_of(attrs: dict) -> set[str]:
-    """The words of class and id; names like has-sidebar or no-comments tell of a page's layout and are left out."""
-    out: set[str] = set()
-    for name in " ".join(attrs.get(k) or "" for k in ("class", "id")).split():
-        words = [w.lower() for w in _WORD.findall(name)]
-        if words and words[0] not in ("has", "with", "no", "without"):
-            out.update(words)
-    return out
+    """The words of class and id."""
+    return set().union(*names_of(attrs))
 
 
 class _Tree(HTMLParser):
@@ -147,7 +161,39 @@ def _is_dropped(node: Node) -> bool:
         while up and up.tag not in ("article", "main"):
             up = up.parent
         return up is None and node.tag not in ("h1", "h2", "h3", "h4", "h5", "h6")
-    return not DROPPED_WORDS.isdisjoint(words_of(attrs))
+    words = words_of(attrs)
+    if not DROPPED_WORDS.isdisjoint(words):
+        content = any(all(w in CONTENT_WORDS or w.isdigit() for w in name) and not all(map(str.isdigit, name)) for name in names_of(attrs))
+        strong = not STRONG_WORDS.isdisjoint(words)
+        if strong and not content:
+            return True
+        node.named = "both" if strong else "content" if content else "weak"
+    return False
+
+
+def _settle_names(root: Node) -> None:
+    """Sets aside the elements whose names speak against them: most of the page's paragraph text, or another name, speaks for the rest."""
+    flagged = [item for item, opens in _walk(root) if opens and item.named]
+    if not flagged:
+        return
+    for item, opens in _walk(root):
+        if opens:
+            chars = _plain_chars(item) if item.tag in BLOCK else 0
+            item.prose, item.chars = chars if chars >= LEAST_CHARS else 0, chars
+        elif opens is False and item.parent is not None:
+            item.parent.prose += item.prose
+            item.parent.chars += item.chars
+    held = [item for item, opens in _walk(root) if opens and item.tag in ("article", "main") and item.chars]
+    for node in flagged:
+        beside = any(not _within(x, node) and not _within(node, x) for x in held)
+        node.dropped = node.named != "content" and (beside or node.prose < LEAST_SPARED or 2 * node.prose <= root.prose)
+
+
+def _within(node: Node, other: Node) -> bool:
+    """Whether a node is another or lies in it."""
+    while node is not None and node is not other:
+        node = node.parent
+    return node is not None
 
 
 def _walk(node: Node):
@@ -178,6 +224,7 @@ def _measure(root: Node) -> list[Node]:
             current.linked += n if links else 0
         elif opens:
             nodes.append(item)
+            item.chars = item.linked = 0
             current = item
             links += item.tag == "a"
         else:
@@ -315,6 +362,7 @@ def main_text(html: str) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _settle_names(tree.root)
     nodes = _measure(tree.root)
     scored: dict[int, Node] = {}
     for node in nodes:
@@ -328,7 +376,7 @@ def main_text(html: str) -> str:
         while up is not None and level < LEVELS:
             if id(up) not in scored:
                 scored[id(up)] = up
-                up.points = FAVOURED.get(up.tag, 0.0) + FAVOUR * (not FAVOURED_WORDS.isdisjoint(words_of(up.attrs)) and up.tag not in ("html", "body", "#root"))
+                up.points = FAVOURED.get(up.tag, 0.0) + FAVOUR * (not FAVOURED_WORDS.isdisjoint(words_of(up.attrs)) and up.tag not in ("html", "body", "#root")) - PENALTY * bool(up.named)
             up.points += points / (1, 2, 6, 9, 12)[level]
             up, level = up.parent, level + 1
     density = lambda n: n.linked / max(n.chars, 1)
@@ -350,11 +398,11 @@ def main_text(html: str) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages without the html, with ``text``."""
     bound_batches(pages.sparkSession)
-    keep = [c for c in pages.columns if c not in (html, "text")]
+    keep = others(pages, html, "text")
     schema = T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType(), False)])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, html):
             texts = pa.array((main_text(h) if h else "" for h in batch.column(html).to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), texts], names=[*keep, "text"])
 

@@ -1,5 +1,8 @@
 """Main text of pages: what is kept, what is set aside, and pages that are odd."""
 
+import html as characters
+import re
+
 import pytest
 
 from chainframe.llm import html, queries
@@ -63,3 +66,39 @@ def test_parts_beside_an_article_and_short_articles():
 def test_a_page_of_links_keeps_its_best_part():
     page = f"<body><div><ul><li><a>{P}</a></li><li><a>{P}</a></li></ul></div></body>"
     assert html.main_text(page) == f"{P} {P}"
+
+
+def plain(page):
+    """The text of the one article of a page without markup inside comments or scripts, by plain replacement."""
+    inner = re.search(r"(?s)<article>(.*?)</article>", re.sub(r"(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>", "", page))[1]
+    blocks = re.split(r"</?(?:p|h[1-6]|ul|ol|li|div|section|table|tr|td|th|blockquote|pre)\b[^>]*>", inner.replace("<br>", " "))
+    texts = (" ".join(characters.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks)
+    return " ".join(t for t in texts if t)
+
+
+def test_all_pages_against_a_plain_version(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in queries.table(spark, folder, "pages").collect()}
+    got = {r.page_id: r.text for r in queries.op8_html_extraction(spark, folder).collect()}
+    assert got == {i: plain(h) for i, h in pages.items()}
+
+
+@pytest.mark.parametrize("name", ["post category-social-media", "entry share-wide", "story related-topic", "content tags-python", "post-12 hentry tag-comments sidebar-left", "social", "related-stories", "tags"])
+def test_an_article_with_an_odd_class_is_kept(name):
+    body = "".join(f"<p>{P} {i}</p>" for i in range(8))
+    text = " ".join(f"{P} {i}" for i in range(8))
+    page = f"<body><nav><a href='/'>Home</a></nav><div class='{name}'>{body}</div><div class='promo'><p>A promo line of some length, here.</p></div></body>"
+    assert html.main_text(page) == text
+    assert html.main_text(page.replace("<div class='promo'", "<div class='share-buttons'")) == text
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "reply", "sidebar", "cookie-consent", "related-posts", "social-links", "ad"])
+def test_furniture_is_left_however_long(name):
+    long = "".join(f"<p>{P} {i}</p>" for i in range(30))
+    for tag in ("article", "main"):
+        assert html.main_text(f"<body><{tag}><p>{P}</p></{tag}><div class='{name}'>{long}</div></body>") == P
+
+
+def test_many_posts_of_a_page_stay():
+    posts = "".join(f"<div class='post tag-social share{i}'><p>{P} {i}</p></div>" for i in range(6))
+    assert html.main_text(f"<body><div id='blog'>{posts}</div><div class='comments'><p>{P}</p></div></body>") == " ".join(f"{P} {i}" for i in range(6))
