@@ -1,7 +1,8 @@
 """The protocol layer: validation of hash chains, reorganisations, and messages.
 
-Every check is a window over one stream; previous state is that of the message before, so streams and,
-within them, networks run in parallel.
+Previous state is that of the message before. Which one that is comes from running maxima over ranges of the order, and its ranges
+from a join by stream, message and network: so the messages of a single stream run in parallel too. Of several networks of a
+message, the first is that of the smallest ``ordinal`` where the feed has one (their order in the message), else of the smallest name.
 """
 
 from __future__ import annotations
@@ -9,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chainframe.operators.ordered import running
 from chainframe.sources.feed import ZERO_HASH
+from chainframe.sources.shared import cut
 
 
 def is_zero(h: Column) -> Column:
@@ -27,14 +30,24 @@ def overlaps(a: str, b: str) -> Column:
     return (F.col(f"{a}.network") == F.col(f"{b}.network")) & (F.col(f"{b}.end_block") >= F.col(f"{a}.start_block")) & (F.col(f"{a}.end_block") >= F.col(f"{b}.start_block"))
 
 
-def with_previous(feed: DataFrame) -> DataFrame:
-    """Adds p_start, p_end, p_hash, p_prev: the range of the same network in the message before (null: none)."""
-    batches = feed.select("stream", "seq").distinct().withColumn("before", F.lag("seq").over(Window.partitionBy("stream").orderBy("seq")))
-    order = Window.partitionBy("stream", "network").orderBy("seq")
-    lagged = feed.withColumn("_p", F.lag(F.struct("seq", "start_block", "end_block", "hash", "prev_hash")).over(order))
-    joined = lagged.join(batches, ["stream", "seq"])
-    known = F.when(F.col("_p.seq") == F.col("before"), F.col("_p"))
-    return joined.withColumn("_p", known).select(
+def places(feed: DataFrame) -> DataFrame:
+    """stream, seq, place (from 0), before (the seq of the message before, null: none) of each message, in the shared folder."""
+    messages = feed.select("stream", "seq").distinct()
+    ran = running(messages, "stream", "seq", "messages", place=("sum", F.lit(1).cast("long"), False), before=("max", F.col("seq"), False))
+    return cut(ran.withColumn("place", F.coalesce("place", F.lit(0))), "places")
+
+
+def place_in_message(feed: DataFrame) -> Column:
+    """What orders the networks of a message."""
+    return F.col("ordinal" if "ordinal" in feed.columns else "network")
+
+
+def with_previous(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
+    """Adds p_start, p_end, p_hash, p_prev: the range of the same network in the message before (null: none). placed: the places of the
+    feed, where they are at hand."""
+    ranges = feed.groupBy(F.col("stream"), F.col("seq").alias("before"), F.col("network")).agg(F.max(F.struct("start_block", "end_block", "hash", "prev_hash")).alias("_p"))
+    known = feed.join((placed or places(feed)).select("stream", "seq", "before"), ["stream", "seq"])
+    return known.join(ranges, ["stream", "before", "network"], "left").select(
         *feed.columns, "before", F.col("_p.start_block").alias("p_start"), F.col("_p.end_block").alias("p_end"), F.col("_p.hash").alias("p_hash"), F.col("_p.prev_hash").alias("p_prev")
     )
 
@@ -55,30 +68,32 @@ def consecutiveness_error() -> Column:
     )
 
 
-def network_errors(feed: DataFrame) -> DataFrame:
+def network_errors(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """stream, seq, error: repeated networks, another number of networks, an unknown network."""
     batches = feed.groupBy("stream", "seq").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("network")).alias("networks"))
-    before = F.lag("networks").over(Window.partitionBy("stream").orderBy("seq"))
+    earlier = batches.select("stream", F.col("seq").alias("before"), F.col("networks").alias("p"))
     error = (
         F.when(F.size("networks") < F.col("n"), "DuplicateNetworkError")
         .when(F.col("p").isNotNull() & (F.size("p") != F.size("networks")), "NetworkCountChangedError")
         .when(F.col("p").isNotNull() & (F.size(F.array_except("networks", "p")) > 0), "UnexpectedNetworkError")
     )
-    return batches.withColumn("p", before).select("stream", "seq", error.alias("error"))
+    known = batches.join((placed or places(feed)).select("stream", "seq", "before"), ["stream", "seq"])
+    return known.join(earlier, ["stream", "before"], "left").select("stream", "seq", error.alias("error"))
 
 
 def first_errors(feed: DataFrame) -> DataFrame:
     """stream, seq, error of the first message of each stream that fails: hashes, then networks, then order."""
-    checked = with_previous(feed).withColumn("e1", prev_hash_error()).withColumn("e3", consecutiveness_error())
-    per_batch = checked.groupBy("stream", "seq").agg(F.min_by("e1", F.when(F.col("e1").isNotNull(), F.col("network"))).alias("e1"), F.min_by("e3", F.when(F.col("e3").isNotNull(), F.col("network"))).alias("e3"))
-    both = per_batch.join(network_errors(feed), ["stream", "seq"]).select("stream", "seq", F.coalesce("e1", "error", "e3").alias("error"))
+    placed, first = places(feed), place_in_message(feed)
+    checked = with_previous(feed, placed).withColumn("e1", prev_hash_error()).withColumn("e3", consecutiveness_error())
+    per_batch = checked.groupBy("stream", "seq").agg(F.min_by("e1", F.when(F.col("e1").isNotNull(), first)).alias("e1"), F.min_by("e3", F.when(F.col("e3").isNotNull(), first)).alias("e3"))
+    both = per_batch.join(network_errors(feed, placed), ["stream", "seq"]).select("stream", "seq", F.coalesce("e1", "error", "e3").alias("error"))
     return both.where("error is not null").groupBy("stream").agg(F.min(F.struct("seq", "error")).alias("x")).select("stream", "x.*")
 
 
-def reorgs(feed: DataFrame) -> DataFrame:
+def reorgs(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """stream, seq, network, inv_start, inv_end: ranges that a message invalidates."""
     back = F.col("p_end").isNotNull() & ~_same() & (F.col("start_block") < F.col("p_end") + 1)
-    return with_previous(feed).where(back).select("stream", "seq", "network", F.col("start_block").alias("inv_start"), F.greatest("end_block", "p_end").alias("inv_end"))
+    return with_previous(feed, placed).where(back).select("stream", "seq", "network", F.col("start_block").alias("inv_start"), F.greatest("end_block", "p_end").alias("inv_end"))
 
 
 def classify(feed: DataFrame, n_rows: Column | None = None, invalidated: DataFrame | None = None) -> DataFrame:

@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.operators import protocol
+from chainframe.operators.ordered import running
 from chainframe.sources.shared import cut
 
 RETENTION = 128
 
 
-def tx_ids(feed: DataFrame, invalidated: DataFrame | None = None) -> DataFrame:
-    """Messages with ``tx_id``: their place in the stream, from 0. invalidated: as for protocol.classify."""
-    place = F.row_number().over(Window.partitionBy("stream").orderBy("seq")) - 1
-    return protocol.classify(feed, invalidated=invalidated).withColumn("tx_id", place.cast("long"))
+def tx_ids(feed: DataFrame, invalidated: DataFrame | None = None, placed: DataFrame | None = None) -> DataFrame:
+    """Messages with ``tx_id``: their place in the stream, from 0. invalidated, placed: as for protocol.classify and with_previous."""
+    placed = placed or protocol.places(feed)
+    found = protocol.classify(feed, invalidated=invalidated or protocol.reorgs(feed, placed))
+    return found.join(placed.select("stream", "seq", F.col("place").alias("tx_id")), ["stream", "seq"])
 
 
 class Marks:
@@ -33,9 +35,10 @@ class Marks:
     def __init__(self, feed: DataFrame, retention: int = RETENTION):
         self.retention = retention
         feed = cut(feed, "feed")
-        invalidated = cut(protocol.reorgs(feed), "reorgs")
-        self.events = ids = cut(tx_ids(feed, invalidated), "messages")
-        self.watermarks = ids.where("tag = 'Watermark'").select("stream", "seq", F.col("tx_id").alias("w_id")).join(feed, ["stream", "seq"]).select("stream", "w_id", "network", "start_block", "end_block")
+        placed, self.first = protocol.places(feed), protocol.place_in_message(feed)
+        invalidated = cut(protocol.reorgs(feed, placed), "reorgs")
+        self.events = ids = cut(tx_ids(feed, invalidated, placed), "messages")
+        self.watermarks = ids.where("tag = 'Watermark'").select("stream", "seq", F.col("tx_id").alias("w_id")).join(feed, ["stream", "seq"]).select("stream", "w_id", "network", self.first.alias("first"), "start_block", "end_block")
         self.points = ids.where("tag = 'Reorg'").select("stream", "seq", F.col("tx_id").alias("r_id")).join(invalidated, ["stream", "seq"]).select("stream", "r_id", "network", "inv_start", "inv_end")
         # one bin holds any retention window's edge and any range
         span = feed.agg(F.max(F.col("end_block") - F.col("start_block") + 1)).first()[0] or 1
@@ -66,7 +69,7 @@ class Marks:
         moves = moves.unionByName(w.where("killed_by is not null").select("stream", F.col("killed_by").alias("id"), F.lit(-1).alias("step"), F.lit(False).alias("put")))
         moves = moves.unionByName(self.points.select("stream", F.col("r_id").alias("id"), F.lit(0).alias("step"), F.lit(False).alias("put")))
         each = moves.groupBy("stream", "id").agg(F.sum("step").alias("step"), F.max("put").alias("put"))
-        each = each.withColumn("height", F.sum("step").over(Window.partitionBy("stream").orderBy("id")))
+        each = running(each, "stream", "id", "stack", height=("sum", F.col("step"), True))
         put = each.where("put").select("stream", "id", F.col("height").alias("level"), F.col("id").alias("mark"))
         ask = each.select("stream", "id", F.when(F.col("put"), F.col("height") - 1).otherwise(F.col("height")).alias("level"), F.lit(None).cast("long").alias("mark"))
         last = F.last("mark", ignorenulls=True).over(Window.partitionBy("stream", "level").orderBy("id"))
@@ -85,20 +88,16 @@ class Marks:
         newest = met.groupBy("stream", "w_id", "network").agg(F.max("v_id").alias("v_id"))
         n = self.watermarks.groupBy("stream", "w_id").agg(F.count("*").alias("n"))
         every = newest.groupBy("stream", "w_id").agg(F.min("v_id").alias("prune"), F.count("*").alias("k")).join(n, ["stream", "w_id"]).where("k = n")
-        before = F.max("prune").over(Window.partitionBy("stream").orderBy("w_id").rowsBetween(Window.unboundedPreceding, -1))
-        return every.withColumn("before", before).where("before is null or prune > before").select("stream", "w_id", "prune")
+        every = running(every.select("stream", "w_id", "prune"), "stream", "w_id", "prunes", before=("max", F.col("prune"), False))
+        return every.where("before is null or prune > before").select("stream", "w_id", "prune")
 
     def recoveries(self) -> DataFrame:
         """stream, r_id, recovery, floor: the newest watermark before a reorganisation that none killed so far and none pruned (null: none left)."""
         first = self.points.select("stream", "r_id").distinct()
-        order = Window.partitionBy("stream").orderBy("id", "kind")
         marks = self.prunes().select("stream", F.col("w_id").alias("id"), F.lit(0).alias("kind"), "prune")
-        floors = (
-            marks.unionByName(first.select("stream", F.col("r_id").alias("id"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("prune")))
-            .withColumn("floor", F.max("prune").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-            .where("kind = 1")
-            .select("stream", F.col("id").alias("r_id"), "floor")
-        )
+        floors = marks.unionByName(first.select("stream", F.col("r_id").alias("id"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("prune")))
+        # ids are of one message each, so no watermark has that of a reorganisation
+        floors = running(floors, "stream", "id", "floors", floor=("max", F.col("prune"), False)).where("kind = 1").select("stream", F.col("id").alias("r_id"), "floor")
         # pruning takes the oldest, so if it took the newest that is left it took all
         left = self.below.select("stream", F.col("id").alias("r_id"), "below")
         recovery = F.when(F.col("floor").isNull() | (F.col("below") > F.col("floor")), F.col("below"))
@@ -112,7 +111,7 @@ class Marks:
     def partial(self) -> DataFrame:
         """stream, r_id, network: reorganisations that start inside their recovery watermark's range, which cannot be undone."""
         met = self.recoveries().join(self.watermarks.withColumnRenamed("w_id", "recovery"), ["stream", "recovery"]).join(self.points, ["stream", "r_id", "network"])
-        return met.where("start_block < inv_start and inv_start <= end_block").groupBy("stream", "r_id").agg(F.min("network").alias("network"))
+        return met.where("start_block < inv_start and inv_start <= end_block").groupBy("stream", "r_id").agg(F.min_by("network", "first").alias("network"))
 
     def commits(self) -> DataFrame:
         """stream, w_id: watermarks left in the store at the end, inserts less what reorganisations and pruning took."""
