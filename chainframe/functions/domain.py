@@ -12,6 +12,11 @@ PATTERNS = {
     "dataset_namespace": "^[a-z0-9_]+$",
     "dataset_name": "^[a-z_][a-z0-9_]*$",
     "dataset_hash": "^[0-9a-fA-F]{64}$",
+    "dataset_tag": "^(latest|dev)$",
+    "dataset_kind": "^(manifest|evm-rpc|eth-beacon|firehose)$",
+    "dataset_reference": r"^[a-z0-9_]+/[a-z_][a-z0-9_]*@.+$",
+    "user_id": "^(c[a-z0-9]{24}|did:privy:c[a-z0-9]{24})$",
+    "token_duration": r"(?i)^-?\d+\.?\d*\s*(sec|secs|second|seconds|s|minute|minutes|min|mins|m|hour|hours|hr|hrs|h|day|days|d|week|weeks|w|year|years|yr|yrs|y)(\s+ago|\s+from\s+now)?$",
 }
 SEMVER = r"^(0|[1-9]\d*)\.(0|[1-9]\d*)\.(0|[1-9]\d*)(?:-((?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*)(?:\.(?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*))*))?(?:\+([0-9a-zA-Z-]+(?:\.[0-9a-zA-Z-]+)*))?$"
 MOST_DESCRIPTION = 1024

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainframe.functions.domain import semver
+from chainframe.functions.domain import dataset_ref, is_semver, semver
+from chainframe.operators.ordered import numbered
 
 #: Ages in days of the last-updated buckets, each within the next.
 BUCKETS = {"last_day": 1, "last_week": 7, "last_month": 30, "last_year": 365}
@@ -65,8 +66,8 @@ def latest(versions: DataFrame, by: list[str], version: str = "version_tag") ->
 def semver_rank(versions: DataFrame, version: str = "version_tag") -> DataFrame:
     """(version, rank) of distinct versions, from the least."""
     v = semver(F.col("version"))
-    order = Window.orderBy(*(v[f] for f in ("major", "minor", "patch", "release", "prerelease")))
-    return versions.select(F.col(version).alias("version")).distinct().withColumn("rank", F.row_number().over(order).cast("long"))
+    order = [v[f] for f in ("major", "minor", "patch", "release", "prerelease")]
+    return numbered(versions.select(F.col(version).alias("version")).distinct(), order, "rank", name="versions")
 
 
 def text_search(registry: DataFrame, words: list[str], columns: dict[str, float]) -> DataFrame:
@@ -103,3 +104,37 @@ def sync_progress(feed: DataFrame) -> DataFrame:
 def files_of(path_df: DataFrame) -> DataFrame:
     """files_count and total_size_bytes of the files behind a DataFrame."""
     return path_df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.count("*").alias("files_count"), F.sum("file_size").alias("total_size_bytes"))
+
+
+def upsert(rows: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
+    """A metadata table with the changed rows in place of those of the same keys: registers, publishes, updates and archives."""
+    return rows.join(changed.select(*keys).distinct(), keys, "left_anti").unionByName(changed)
+
+
+def with_status(versions: DataFrame, chosen: DataFrame, keys: list[str], status: str) -> DataFrame:
+    """versions with a status for those whose keys are chosen (``archived`` for a version that is taken back)."""
+    changed = versions.join(chosen.select(*keys).distinct(), keys, "left_semi").withColumn("status", F.lit(status)).select(versions.columns)
+    return upsert(versions, changed, keys)
+
+
+def resolve(refs: DataFrame, versions: DataFrame, ref: str = "ref") -> DataFrame:
+    """refs with the version that each names. versions: namespace, name, version, hash, registered (order of registration), and more.
+
+    A version or a hash (in any case) names itself, latest the greatest version, dev the one registered last. References to nothing are left out.
+    """
+    r = dataset_ref(F.col(ref))
+    asked = refs.select("*", r["namespace"].alias("_ns"), r["name"].alias("_name"), F.lower(r["revision"]).alias("_wanted"))
+    v = semver(F.col("version"))
+    by = ["namespace", "name"]
+    tags = versions.groupBy(*by).agg(F.max_by("version", F.when(is_semver(F.col("version")), F.struct(v["major"], v["minor"], v["patch"], v["release"], v["prerelease"]))).alias("latest"), F.max_by("version", "registered").alias("dev"))
+    named = versions.join(tags, by).withColumn(
+        "_names", F.array_distinct(F.array_compact(F.array(F.lower("version"), F.lower("hash"), F.when(F.col("version") == F.col("latest"), "latest"), F.when(F.col("version") == F.col("dev"), "dev"))))
+    )
+    each = named.withColumn("_names", F.explode("_names")).drop("latest", "dev")
+    met = asked.join(each, (F.col("_ns") == F.col("namespace")) & (F.col("_name") == F.col("name")) & (F.col("_wanted") == F.col("_names")))
+    return met.drop("_ns", "_name", "_wanted", "_names")
+
+
+def list_parameter(value: Column) -> Column:
+    """The entries of a comma-separated, percent-encoded list of a request (null or empty: none)."""
+    return F.when(F.coalesce(value, F.lit("")) != "", F.transform(F.split(value, ","), lambda x: F.url_decode(x))).otherwise(F.array().cast("array<string>"))

@@ -6,6 +6,7 @@ transaction ids; MARKS, watermarks and reorganisations by id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 
 from chainframe.functions import domain
 from chainframe.operators import catalog, cdc, joins, protocol
+from chainframe.operators.ordered import numbered
 from chainframe.operators.transactions import Marks, tx_ids
 from chainframe.plans import gate
-from chainframe.sources import arrow_types
+from chainframe.sources import arrow_types, stores
 from chainframe.sources.feed import event_rows, from_metadata, registry, resume_cursor, synthetic_feed, table, to_metadata
 from chainframe.sources.shared import new_path
-from chainframe.streaming import processor
+from chainframe.streaming import processor, stream
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -271,7 +273,7 @@ def json_egress_types(spark, sf_dir):
 def dictionary_lookup(spark, sf_dir):
     """Codes looked up in a dictionary of the values that the column has."""
     events = table(spark, sf_dir, "events").select("event_type")
-    codes = events.distinct().withColumn("code", (F.dense_rank().over(Window.orderBy("event_type")) - 1).cast("long"))
+    codes = numbered(events.distinct(), [F.col("event_type")], "code", first=0, name="dictionary")
     encoded = events.join(codes, "event_type").select("code")
     return encoded.join(codes, "code").groupBy("event_type", "code").agg(F.count("*").alias("n"))
 
@@ -429,10 +431,11 @@ _GATED = {
     + ", ('unqualified', 'UNQUALIFIED_TABLE'), ('catalog_qualified', 'CATALOG_QUALIFIED_TABLE'), ('unknown', 'TABLE_NOT_FOUND_IN_DATASET'), ('broken', 'INVALID_TABLE_SQL')) t(name, code)"
 )
 def incremental_gate(spark, sf_dir):
-    spark.sql("CREATE DATABASE IF NOT EXISTS ds")
-    spark.sql("DROP TABLE IF EXISTS ds.events")
-    spark.sql(f"CREATE TABLE ds.events USING parquet LOCATION '{sf_dir}/events.parquet'")
-    found = gate.check_all(spark, _GATED, known={"ds": ["events"]})
+    own = f"ds_{uuid.uuid4().hex}"  # no other query's
+    spark.sql(f"CREATE DATABASE {own}")
+    spark.sql(f"CREATE TABLE {own}.events USING parquet LOCATION '{sf_dir}/events.parquet'")
+    found = gate.check_all(spark, {name: sql.replace("ds.", f"{own}.") for name, sql in _GATED.items()}, known={own: ["events"]})
+    spark.sql(f"DROP DATABASE {own} CASCADE")
     return spark.createDataFrame(list(found.items()), "name string, code string")
 
 
@@ -634,12 +637,13 @@ def session_window(spark, sf_dir):
 
 @query(_HOURS)
 def stream_windows(spark, sf_dir):
-    """The tumbling windows of a stream of the events file, run until it is read."""
+    """The tumbling windows of a stream of the events file: each micro-batch writes the windows it changed, the last of each counts."""
     e = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    counted = e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
-    name = "stream_windows"
-    counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    out, progress = (new_path(spark, f"windows-{x}") for x in ("changed", "progress"))
+    counted = processor.windowed_counts(e)
+    write = lambda changed, batch: changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    counted.writeStream.foreachBatch(write).option("checkpointLocation", progress).outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
 @query(
@@ -654,3 +658,25 @@ def stream_transactions(spark, sf_dir):
     events = processor.transactions(spark.readStream.schema(made.schema).parquet(source))
     events.writeStream.format("parquet").option("checkpointLocation", progress).outputMode("append").trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.schema(events.schema).parquet(out).select("stream", "seq", "tx_id", "tag", "undo_start", "undo_end", "prune")
+
+
+@query(f"WITH {_CHANGES} SELECT 'events' AS stream, * FROM changes")
+def stream_changes(spark, sf_dir):
+    """The changes of cdc_changes from a stream of messages: transaction events by the stateful operator, and changes by micro-batch."""
+    source, progress, kept, out = (new_path(spark, f"changes-{x}") for x in ("messages", "progress", "store", "out"))
+    made = processor.messages(_feed(spark, sf_dir))
+    made.write.parquet(source)
+    rows = event_rows(table(spark, sf_dir, "events")).select(F.lit("events").alias("stream"), (F.col("b") * 4).alias("seq"), "network", "block_num", "event_id")
+    store = stores.BatchStore(spark, kept, "stream string, tx_id long, network string, block_num long, event_id long")
+    events = processor.transactions(spark.readStream.schema(made.schema).parquet(source))
+    stream.for_each(events, stream.changes(rows, store, out), progress).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+@query(f"WITH {_REGISTRY} SELECT concat(namespace, '/', name, '@', CASE ds_id % 4 WHEN 0 THEN 'latest' WHEN 1 THEN version_tag WHEN 2 THEN sha256(name) ELSE 'dev' END) AS ref, name, version_tag AS version FROM registry")
+def resolve_revision(spark, sf_dir):
+    """References by tag, version and hash to the versions that they name."""
+    versions = registry(table(spark, sf_dir, "documents")).select("ds_id", "namespace", "name", F.col("version_tag").alias("version"), F.sha2("name", 256).alias("hash"), F.col("ds_id").alias("registered"))
+    revision = F.when(F.col("ds_id") % 4 == 0, "latest").when(F.col("ds_id") % 4 == 1, F.col("version")).when(F.col("ds_id") % 4 == 2, F.col("hash")).otherwise("dev")
+    refs = versions.select(domain.format_ref(F.col("namespace"), F.col("name"), revision).alias("ref"))
+    return catalog.resolve(refs, versions).select("ref", "name", "version")

@@ -57,6 +57,8 @@ def transactions(stream: DataFrame, retention: int = RETENTION) -> DataFrame:
 
 
 def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:
-    """Counts and sums of a stream of events (ts, event_type, value) in tumbling or sliding windows."""
+    """Counts and sums of a stream of events (ts, event_type, value) in tumbling or sliding windows. start is of the type of ts."""
+    kind = events.schema["ts"].dataType
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     w = F.window("ts", size, slide) if slide else F.window("ts", size)
-    return events.withWatermark("ts", late).groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
+    return timed.groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast(kind).alias("start"), "event_type", "n", "total")

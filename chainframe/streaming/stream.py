@@ -1,79 +1,54 @@
-"""Consuming a stream with commits of one's own: at restarts the last committed watermark is resumed from."""
+"""Consuming the events of a stream with commits: each micro-batch is one unit of work that a restart repeats whole.
 
-from __future__ import annotations
-
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame
-
-from chainframe.sources.stores import BatchStore, StateStore
-from chainframe.streaming.state import RETENTION, StreamState
+Everything is keyed by the micro-batch: a batch writes its own folder and replaces what an interrupted run left there, and the
+query's checkpoint moves on only after that. So nothing is lost or handed on twice, whatever stops between two steps.
+"""
 
+from __future__ import annotations
 
-@dataclass
-class Commit:
-    """Makes progress up to its event durable when called; calls may repeat."""
+from collections.abc import Callable
 
-    tx_id: int
-    state: StreamState
-    store: StateStore
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-    def __call__(self) -> None:
-        self.state.commit(self.tx_id)
-        self.store.save(_durable(self.state))
+from chainframe.operators import cdc
+from chainframe.sources.stores import BatchStore
 
 
-def _durable(state: StreamState) -> StreamState:
-    """What survives a restart: ids handed out, and committed watermarks."""
-    waiting = {w[0] for w in state.waiting}
-    return StreamState(state.retention, state.next, [], [w for w in state.buffer if w[0] not in waiting])
+def resume_point(watermark_ranges: list[Row]) -> dict[str, tuple[int, str]]:
+    """Where a source resumes: (block, hash) by network of the ranges of the last committed watermark."""
+    return {r["network"]: (r["end"], r["hash"]) for r in watermark_ranges}
 
 
-def resume_point(state: StreamState) -> dict[str, tuple[int, str]]:
-    """Where a source resumes: (block, hash) by network of the last watermark."""
-    return {r["network"]: (r["end"], r["hash"]) for r in state.buffer[-1][1]} if state.buffer else {}
+def for_each(events: DataFrame, handler: Callable[[DataFrame, int], None], progress: str, **trigger) -> StreamingQuery:
+    """Calls handler with the events of each micro-batch and its number, and commits it; a handler that raises ends the query and leaves its
+    batch uncommitted: a restart with the same progress folder hands it out again. trigger: as for writeStream.trigger."""
+    return events.writeStream.foreachBatch(handler).option("checkpointLocation", progress).outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
 
 
-def transactions(messages: Callable[[dict], Iterator[dict]], store: StateStore, retention: int = RETENTION) -> Iterator[tuple[dict, Commit]]:
-    """Events with their commit handles. messages: given the resume point, yields dicts with ranges, complete, n_rows and maybe data.
+def changes(rows: DataFrame, store: BatchStore, out: str) -> Callable[[DataFrame, int], None]:
+    """A handler that writes Insert and Delete changes to ``out`` (batch=n). rows: stream, seq and data of the data messages.
 
-    Ids are saved before their event is handed out, so none is used twice. After a restart, what may
-    have been delivered past the last committed watermark is undone first (cause Rewind).
+    Data is stored before its inserts are written. An undo deletes the stored rows of the transactions in its range that none deleted
+    before, found by bins of ids. Watermarks prune the store. Undone and pruned transactions leave the store's live ones.
     """
-    state = store.load()
-    state.retention = retention
-    resume = resume_point(state)
-    if undo := state.rewind():
-        store.save(_durable(state))
-        yield undo, Commit(undo["tx_id"], state, store)
-    for m in messages(resume):
-        event = state.message(m["ranges"], m["complete"], m["n_rows"])
-        store.save(_durable(state))
-        yield event | {"data": m.get("data"), "ranges": m["ranges"]}, Commit(event["tx_id"], state, store)
-
-
-def for_each(messages, store: StateStore, handler: Callable[[dict], None], retention: int = RETENTION) -> None:
-    """Calls handler with each event and commits it; a handler that raises leaves its event uncommitted."""
-    for event, commit in transactions(messages, store, retention):
-        handler(event)
-        commit()
-
-
-def changes(messages, store: StateStore, batches: BatchStore, retention: int = RETENTION) -> Iterator[tuple[dict, Commit]]:
-    """Insert and Delete events. Data is stored before its insert is handed out; an undo replays the batches in its
-    range, one at a time, as ``batches`` of a Delete; watermarks prune the store and commit by themselves."""
-    for event, commit in transactions(messages, store, retention):
-        if event["tag"] == "Data":
-            data: DataFrame = event["data"]
-            batches.append(data, event["tx_id"])
-            yield {"change": "insert", "tx_id": event["tx_id"], "data": data}, commit
-        elif event["tag"] == "Undo":
-            ids = batches.seek(event["undo_start"], event["undo_end"])
-            if ids:
-                replay = ((i, found) for i in ids if (found := batches.load(i)) is not None)
-                yield {"change": "delete", "tx_id": event["tx_id"], "batches": replay}, commit
-        else:
-            if event["prune"] is not None:
-                batches.prune(event["prune"])
-            commit()
+    columns = [c for c in rows.columns if c not in ("stream", "seq")]
+
+    def handle(events: DataFrame, batch: int) -> None:
+        events = events.persist()
+        inserted = events.where("tag = 'Data'").select("stream", "seq", "tx_id").join(rows, ["stream", "seq"]).select("stream", "tx_id", *columns)
+        store.append(inserted, batch)
+        held = store.load(upto=batch)
+        ids = held.select("stream", "tx_id").distinct()
+        undos = events.where("tag = 'Undo'").select("stream", F.col("tx_id").alias("r_id"), "undo_start", "undo_end")
+        gone = store.gone(before=batch)
+        undone = cdc.seek(ids, undos).groupBy("stream", "tx_id").agg(F.min("r_id").alias("r_id")).join(gone, ["stream", "tx_id"], "left_anti")
+        store.forget(undone, batch)
+        deleted = held.join(store.gone(before=batch + 1).where(F.col("batch") == batch).drop("batch"), ["stream", "tx_id"])
+        change = inserted.select("stream", "tx_id", F.lit("insert").alias("change"), F.col("tx_id").alias("of_tx"), *columns)
+        change.unionByName(deleted.select("stream", F.col("r_id").alias("tx_id"), F.lit("delete").alias("change"), F.col("tx_id").alias("of_tx"), *columns)).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        store.prune(events.where("prune is not null").groupBy("stream").agg(F.max("prune").alias("prune")), batch)
+        events.unpersist()
+
+    return handle
