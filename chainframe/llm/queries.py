@@ -54,13 +54,14 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(found, {kind: f"n_{kind}" for kind in pii.BASE})
 
 
-def byte_bpe_digest(docs: DataFrame) -> DataFrame:
-    """doc_id with the digests of its ids and of the bytes they decode to."""
+def byte_bpe_digest(docs: DataFrame, written: bool = False) -> DataFrame:
+    """doc_id with the digests of its ids and of the bytes they decode to. written: ids are written before they are decoded, so that a task
+    encodes or decodes and holds one worker's memory."""
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    # written, so that a task encodes or decodes and holds one worker's memory, and no lost decoding encodes again
-    encoded = cut(bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN), "bpe-ids")
+    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
+    encoded = cut(encoded, "bpe-ids") if written else encoded
     return bpe.decode(encoded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
