@@ -49,7 +49,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row a document taken: the digests of its token ids and of what they decode to."""
-    return byte_bpe_digest(docs)
+    return byte_bpe_digest(docs, written=True)
 
 
 STAGES = [
