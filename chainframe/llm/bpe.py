@@ -18,8 +18,12 @@ import base64
 import functools
 import heapq
 import re
+from array import array
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
@@ -43,8 +47,10 @@ def _ranks(data: bytes) -> dict[bytes, int]:
 
 
 @functools.lru_cache(4)
-def _tokens(data: bytes) -> dict[int, bytes]:
-    return {rank: token for token, rank in _ranks(data).items()}
+def _tokens(data: bytes) -> pa.Array:
+    """The bytes of each id, null where there is none."""
+    by_id = {rank: token for token, rank in _ranks(data).items()}
+    return pa.array(map(by_id.get, range(max(by_id) + 1)), pa.binary())
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -76,6 +82,22 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class _Known(dict):
+    """Ids of short units, as 32-bit numbers in bytes, found when first asked for."""
+
+    def __init__(self, find: Callable[[str], list[int]], lead: str):
+        super().__init__()
+        self.find, self.lead = find, lead
+
+    def __missing__(self, part: str) -> bytes:
+        ids = array("i", self.find(self.lead + part)).tobytes()
+        if len(part) <= _SHORT_UNIT:
+            if len(self) >= _CACHE_ENTRIES:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class _Encoder:
     """Encodes pieces that start and end at pre-token boundaries; keeps what it found for frequent units.
 
@@ -83,30 +105,24 @@ class _Encoder:
     """
 
     def __init__(self, data: bytes, pattern: str):
-        self.ranks, self.find, self.known = _ranks(data), regex.compile(pattern).findall, {}
+        self.ranks, self.find = _ranks(data), regex.compile(pattern).findall
         self.short = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+        self.first, self.spaced = _Known(self.unit, ""), _Known(self.unit, " ")
 
     def unit(self, text: str) -> list[int]:
         if len(text) > _SHORT_UNIT:
             return [i for piece in self.find(text) for i in merge(piece.encode(), self.ranks)]
-        ids = self.short(text)
-        if len(self.known) >= _CACHE_ENTRIES:
-            self.known.clear()
-        self.known[text] = ids
-        return ids
+        return self.short(text)
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids as 32-bit numbers in bytes."""
         if not text:
-            return []
+            return b""
         parts = _SAFE_SPACE.split(text) if _UNSAFE_SPACE.search(text) else text.split(" ")
-        ids: list[int] = []
-        known, lead = self.known, ""
-        for part in parts:
-            unit = lead + part
-            lead = " "
-            got = known.get(unit)
-            ids += self.unit(unit) if got is None else got
-        return ids
+        return self.first[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
 
 def _encode_column(df: DataFrame, column: str, data, pattern: str) -> DataFrame:
@@ -117,7 +133,9 @@ def _encode_column(df: DataFrame, column: str, data, pattern: str) -> DataFrame:
     def run(batches):
         encoder = _Encoder(data.value, pattern)
         for batch in slices(batches, column):
-            ids = pa.array((encoder.encode(t or "") for t in batch.column(column).to_pylist()), pa.list_(pa.int32()))
+            packed = [encoder.packed(t or "") for t in batch.column(column).to_pylist()]
+            stops = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(stops), pa.Array.from_buffers(pa.int32(), int(stops[-1]), [None, pa.py_buffer(b"".join(packed))]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
 
     return df.select(*keep, column).mapInArrow(run, schema)
@@ -186,17 +204,26 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
     return short.unionByName(joined).select(*([F.col("row.*")] if keep else []), "ids")
 
 
+def _bytes_of(ids: pa.Array, token: pa.Array) -> pa.Array:
+    """The bytes of each list of ids: those of its tokens, which already lie one after the other."""
+    taken = token.take(ids.flatten())
+    if taken.null_count:
+        raise ValueError("an id is no token of the vocabulary")
+    stops = np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)])
+    bounds = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds[stops].astype(np.int32)), taken.buffers()[2] or pa.py_buffer(b"")])
+
+
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Adds the bytes that the ids stand for, as binary (null ids: empty)."""
+    """Adds the bytes that the ids stand for, as binary (null ids: empty). An id that is no token is an error."""
     with open(vocabulary, "rb") as f:
         data = df.sparkSession.sparkContext.broadcast(f.read())
     df = df.select(*others(df, out))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType(), False)])
 
     def run(batches):
-        token = _tokens(data.value).__getitem__
+        token = _tokens(data.value)
         for batch in batches:
-            made = pa.array((b"".join(map(token, x or ())) for x in batch.column(ids).to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _bytes_of(batch.column(ids), token)], names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
