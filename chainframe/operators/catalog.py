@@ -135,6 +135,17 @@ def resolve(refs: DataFrame, versions: DataFrame, ref: str = "ref") -> DataFrame
     return met.drop("_ns", "_name", "_wanted", "_names")
 
 
+def dependencies(used: DataFrame, given: DataFrame, versions: DataFrame) -> DataFrame:
+    """used (alias, ...) with the dataset that each alias stands for: ref, namespace, name, version, and code, null if it is found.
+
+    given: alias, ref. An alias that is not given and a reference that names no version have a code of their own, and no version.
+    """
+    named = used.join(given.select("alias", "ref"), "alias", "left")
+    found = resolve(given.select("ref").distinct(), versions).select("ref", "namespace", "name", "version")
+    code = F.when(F.col("ref").isNull(), "DEPENDENCY_ALIAS_NOT_FOUND").when(F.col("version").isNull(), "DEPENDENCY_NOT_FOUND")
+    return named.join(found, "ref", "left").withColumn("code", code)
+
+
 def list_parameter(value: Column) -> Column:
     """The entries of a comma-separated, percent-encoded list of a request (null or empty: none)."""
     return F.when(F.coalesce(value, F.lit("")) != "", F.transform(F.split(value, ","), lambda x: F.url_decode(x))).otherwise(F.array().cast("array<string>"))

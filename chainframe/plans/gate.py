@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException, ParseException
@@ -17,7 +18,12 @@ CODES = {
     "EMPTY_TABLES_AND_FUNCTIONS": 400,
     "INVALID_TABLE_NAME": 400,
     "CATALOG_QUALIFIED_FUNCTION": 400,
+    "DEPENDENCY_ALIAS_NOT_FOUND": 400,
+    "FUNCTION_NOT_FOUND_IN_DATASET": 404,
+    "INVALID_DEPENDENCY_ALIAS_FOR_FUNCTION_REF": 400,
 }
+#: Names that SQL takes without quotes.
+IDENTIFIER = re.compile("[A-Za-z_][A-Za-z0-9_]*")
 #: Operators of Catalyst that need more than the new rows of a block, and what they are in SQL.
 NEEDS_ALL = {
     "GlobalLimit": "LIMIT",
@@ -60,6 +66,37 @@ def tables_in(spark: SparkSession, sql: str) -> list[list[str]]:
     return sorted(found)
 
 
+def functions_in(spark: SparkSession, sql: str) -> list[list[str]]:
+    """The name parts of the functions that a query calls."""
+    found, waiting = [], []
+    for node in _nodes(parsed(spark, sql)):
+        expressions = node.expressions()
+        waiting += [expressions.apply(i) for i in range(expressions.size())]
+    while waiting:
+        expression = waiting.pop()
+        more = expression.children()
+        waiting += [more.apply(i) for i in range(more.size())]
+        if expression.getClass().getSimpleName() == "UnresolvedFunction":
+            parts = expression.nameParts()
+            found.append([parts.apply(i) for i in range(parts.size())])
+    return sorted(found)
+
+
+def check_functions(spark: SparkSession, sql: str, known: Mapping[str, Iterable[str]]) -> str | None:
+    """The error code of the functions that a query calls, or None. known: functions by dataset alias; names without an alias are Spark's own."""
+    for parts in functions_in(spark, sql):
+        if len(parts) > 2:
+            return "CATALOG_QUALIFIED_FUNCTION"
+        if len(parts) == 2:
+            if not IDENTIFIER.fullmatch(parts[0]):
+                return "INVALID_DEPENDENCY_ALIAS_FOR_FUNCTION_REF"
+            if parts[0] not in known:
+                return "DEPENDENCY_ALIAS_NOT_FOUND"
+            if parts[1] not in known[parts[0]]:
+                return "FUNCTION_NOT_FOUND_IN_DATASET"
+    return None
+
+
 def needs_all(spark: SparkSession, sql: str) -> list[str]:
     """What keeps a query from running on new rows alone (empty: it may)."""
     found = set()
@@ -72,8 +109,8 @@ def needs_all(spark: SparkSession, sql: str) -> list[str]:
     return sorted(found)
 
 
-def check(spark: SparkSession, sql: str, known: Mapping[str, Iterable[str]] | None = None) -> str | None:
-    """The error code of a derived table's SQL, or None. known: tables by dataset alias; by default names are not looked up."""
+def check(spark: SparkSession, sql: str, known: Mapping[str, Iterable[str]] | None = None, functions: Mapping[str, Iterable[str]] | None = None) -> str | None:
+    """The error code of a derived table's SQL, or None. known, functions: tables and functions by dataset alias; by default names are not looked up."""
     try:
         names = tables_in(spark, sql)
     except ParseException:
@@ -85,17 +122,20 @@ def check(spark: SparkSession, sql: str, known: Mapping[str, Iterable[str]] | No
             return "CATALOG_QUALIFIED_TABLE"
         if known is not None and parts[1] not in known.get(parts[0], ()):
             return "TABLE_NOT_FOUND_IN_DATASET"
+    if functions is not None and (wrong := check_functions(spark, sql, functions)):
+        return wrong
     try:
         return "NON_INCREMENTAL_QUERY" if needs_all(spark, sql) else None
     except AnalysisException:
         return "INVALID_TABLE_SQL"
 
 
-def check_all(spark: SparkSession, tables: Mapping[str, str], functions: Mapping[str, object] | None = None, known=None) -> dict[str, str | None]:
-    """The codes of each table of a request; a request without tables and functions has one for itself."""
+def check_all(spark: SparkSession, tables: Mapping[str, str], functions: Mapping[str, object] | None = None, known=None, callable_=None) -> dict[str, str | None]:
+    """The codes of each table of a request; a request without tables and functions has one for itself. functions: those it defines;
+    known, callable_: tables and functions of its dependencies, by alias."""
     if not tables and not functions:
         return {"": "EMPTY_TABLES_AND_FUNCTIONS"}
-    return {name: check(spark, sql, known) for name, sql in tables.items()}
+    return {name: check(spark, sql, known, callable_) if IDENTIFIER.fullmatch(name) else "INVALID_TABLE_NAME" for name, sql in tables.items()}
 
 
 def output_schema(spark: SparkSession, tables: Mapping[str, str]) -> dict[str, str]:

@@ -11,14 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chainframe.functions import domain
 from chainframe.operators import catalog, cdc, joins, protocol
 from chainframe.operators.ordered import numbered
 from chainframe.operators.transactions import Marks, tx_ids
-from chainframe.plans import gate
+from chainframe.plans import derived, gate
 from chainframe.sources import arrow_types, stores
-from chainframe.sources.feed import event_rows, from_metadata, registry, resume_cursor, synthetic_feed, table, to_metadata
+from chainframe.sources.feed import event_rows, extracted, from_metadata, registry, resume_cursor, synthetic_feed, table, to_metadata
 from chainframe.sources.shared import new_path
 from chainframe.streaming import processor, stream
 
@@ -269,6 +270,23 @@ def json_egress_types(spark, sf_dir):
     return arrow_types.json_ready(o)
 
 
+@query(
+    """SELECT o_orderkey AS orderkey, CAST(epoch_ms(o_orderdate) AS BIGINT) AS at, CAST(epoch_ms(CAST(o_orderdate AS DATE)) AS BIGINT) AS day,
+    lower(hex(encode(o_orderpriority))) AS priority, [ascii(o_orderstatus), 45, ascii(o_orderstatus)] AS status FROM orders"""
+)
+def json_egress_options(spark, sf_dir):
+    """Egress with numbers for 64-bit integers and times, and binary as hex digits or bytes."""
+    status = F.concat("o_orderstatus", F.lit("-"), "o_orderstatus").cast("binary")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderkey"),
+        F.col("o_orderdate").alias("at"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderpriority").cast("binary").alias("priority"),
+        arrow_types.json_value(status, T.BinaryType(), arrow_types.Egress(binary="array")).alias("status"),
+    )
+    return arrow_types.json_ready(o, arrow_types.Egress("number", "timestamp", "hex"))
+
+
 @query("SELECT event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS BIGINT) AS code, count(*) AS n FROM events GROUP BY event_type")
 def dictionary_lookup(spark, sf_dir):
     """Codes looked up in a dictionary of the values that the column has."""
@@ -439,6 +457,49 @@ def incremental_gate(spark, sf_dir):
     return spark.createDataFrame(list(found.items()), "name string, code string")
 
 
+@query("SELECT event_id, event_type, event_id % 20 AS place, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS level FROM events WHERE value > 1")
+def derived_dataset(spark, sf_dir):
+    """A view over a raw dataset that calls the derived dataset's own function."""
+    raw, own = f"raw_{uuid.uuid4().hex}", f"derived_{uuid.uuid4().hex}"  # no other query's
+    spark.sql(f"CREATE DATABASE {raw}")
+    spark.sql(f"CREATE TABLE {raw}.events USING parquet LOCATION '{sf_dir}/events.parquet'")
+    level = derived.Function("CASE WHEN x0 > 50 THEN 'high' ELSE 'low' END", ["DOUBLE"], "STRING")
+    sql = f"SELECT event_id, event_type, event_id % 20 AS place, {own}.level(value) AS level FROM {raw}.events WHERE value > 1"
+    derived.deploy(spark, own, {"levels": sql}, {"level": level}, {raw: ["events"]})
+    found = spark.table(f"{own}.levels")  # analysed: its plan needs the names no more
+    for name in (own, raw):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return found
+
+
+@query(
+    """WITH e AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'eth' ELSE 'polygon' END AS network, CAST(floor(event_id / 2.0) AS BIGINT) AS block_num, event_id FROM events),
+    f AS (SELECT network, max(block_num) - 12 AS finalized_block FROM e GROUP BY network)
+    SELECT network, block_num, event_id FROM e JOIN f USING (network) WHERE block_num >= 100 AND block_num <= finalized_block"""
+)
+def extracted_blocks(spark, sf_dir):
+    """Rows from block 100 on that are at least twelve blocks behind the head of their network."""
+    rows = event_rows(table(spark, sf_dir, "events")).select("network", "block_num", "event_id")
+    finalized = rows.groupBy("network").agg((F.max("block_num") - 12).alias("finalized_block"))
+    return extracted(rows, start_block=100, finalized=finalized)
+
+
+@query(
+    f"""WITH {_REGISTRY}, used AS (SELECT 'a' || (event_id % 50) AS alias, count(*) AS n FROM events GROUP BY 1),
+    given AS (SELECT 'a' || ds_id AS alias, namespace || '/' || name || '@' || CASE WHEN ds_id % 4 = 0 THEN '99.0.0' ELSE version_tag END AS ref, ds_id FROM registry WHERE ds_id % 3 > 0)
+    SELECT u.alias, u.n, g.ref, v.version_tag AS version, CASE WHEN g.ref IS NULL THEN 'DEPENDENCY_ALIAS_NOT_FOUND' WHEN v.ds_id IS NULL THEN 'DEPENDENCY_NOT_FOUND' END AS code
+    FROM used u LEFT JOIN given g USING (alias) LEFT JOIN registry v ON v.ds_id = g.ds_id AND g.ds_id % 4 > 0"""
+)
+def dependency_aliases(spark, sf_dir):
+    """The datasets that aliases stand for; some are not given, some name a version that does not exist."""
+    r = _registry(spark, sf_dir)
+    used = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("a"), (F.col("event_id") % 50).cast("string")).alias("alias")).agg(F.count("*").alias("n"))
+    version = F.when(F.col("ds_id") % 4 == 0, "99.0.0").otherwise(F.col("version_tag"))
+    given = r.where("ds_id % 3 > 0").select(F.concat(F.lit("a"), F.col("ds_id").cast("string")).alias("alias"), domain.format_ref(F.col("namespace"), F.col("name"), version).alias("ref"))
+    versions = r.select("namespace", "name", F.col("version_tag").alias("version"), F.sha2("name", 256).alias("hash"), F.col("ds_id").alias("registered"))
+    return catalog.dependencies(used, given, versions).select("alias", "n", "ref", "version", "code")
+
+
 # The relational operators that the engine takes from Spark SQL
 
 

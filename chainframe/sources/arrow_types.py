@@ -8,6 +8,7 @@ intervals and unions become structs, wide decimals become strings, dictionaries
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -121,32 +122,57 @@ def read_ipc(spark: SparkSession, paths: Iterable[str] | str, schema: pa.Schema
     return files.select("content").mapInArrow(run, ddl)
 
 
-def json_value(column: Column, kind: T.DataType) -> Column:
-    """A value as JSON consumers get it: 64-bit integers and decimals as strings, binary as base64 in one line, dates and times as ISO
-    with milliseconds cut towards zero, maps as arrays of key and value."""
-    if isinstance(kind, (T.LongType, T.DecimalType)):
+class Egress(NamedTuple):
+    """How rows leave as JSON: longs as string or number; times as iso or timestamp (milliseconds since 1970); binary as base64, hex or array (of bytes)."""
+
+    longs: str = "string"
+    times: str = "iso"
+    binary: str = "base64"
+
+
+def _json_binary(column: Column, form: str) -> Column:
+    if form == "hex":
+        return F.lower(F.hex(column))
+    if form == "array":
+        digits = F.regexp_extract_all(F.hex(column), F.lit("(..)"), F.lit(1))
+        return F.transform(digits, lambda x: F.conv(x, 16, 10).cast("int"))
+    return F.regexp_replace(F.base64(column), "[\r\n]", "")
+
+
+def json_value(column: Column, kind: T.DataType, how: Egress = Egress()) -> Column:
+    """A value as JSON consumers get it, by default 64-bit integers as strings, binary as base64 in one line, dates and times as ISO
+    with milliseconds cut towards zero. Decimals are strings, maps arrays of key and value."""
+    if isinstance(kind, T.LongType):
+        return column.cast("string") if how.longs == "string" else column
+    if isinstance(kind, T.DecimalType):
         return column.cast("string")
     if isinstance(kind, T.BinaryType):
-        return F.regexp_replace(F.base64(column), "[\r\n]", "")
+        return _json_binary(column, how.binary)
     if isinstance(kind, T.DateType):
-        return F.date_format(column, "yyyy-MM-dd'T'00:00:00.000'Z'")
+        return F.date_format(column, "yyyy-MM-dd'T'00:00:00.000'Z'") if how.times == "iso" else F.unix_date(column).cast("long") * 86_400_000
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         micros = F.unix_micros(column.cast("timestamp"))
         # whole milliseconds towards zero: a floor would take times before 1970 one further
-        return F.date_format(F.timestamp_millis(((micros - micros % 1000) / 1000).cast("long")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        millis = ((micros - micros % 1000) / 1000).cast("long")
+        return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") if how.times == "iso" else millis
     if isinstance(kind, T.ArrayType):
-        return F.transform(column, lambda x: json_value(x, kind.elementType))
+        return F.transform(column, lambda x: json_value(x, kind.elementType, how))
     if isinstance(kind, T.StructType):
-        return F.when(column.isNotNull(), F.struct(*(json_value(column[f.name], f.dataType).alias(f.name) for f in kind)))
+        return F.when(column.isNotNull(), F.struct(*(json_value(column[f.name], f.dataType, how).alias(f.name) for f in kind)))
     if isinstance(kind, T.MapType):
-        return F.transform(F.map_entries(column), lambda e: F.struct(json_value(e["key"], kind.keyType).alias("key"), json_value(e["value"], kind.valueType).alias("value")))
+        return F.transform(F.map_entries(column), lambda e: F.struct(json_value(e["key"], kind.keyType, how).alias("key"), json_value(e["value"], kind.valueType, how).alias("value")))
     return column
 
 
-def json_ready(df: DataFrame) -> DataFrame:
-    return df.select(*(json_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema))
+def json_ready(df: DataFrame, how: Egress = Egress()) -> DataFrame:
+    return df.select(*(json_value(F.col(f.name), f.dataType, how).alias(f.name) for f in df.schema))
 
 
-def to_json(df: DataFrame, nulls: bool = True) -> DataFrame:
+def to_json(df: DataFrame, nulls: bool = True, how: Egress = Egress()) -> DataFrame:
     """One JSON object a row, in column ``value``."""
-    return json_ready(df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false" if nulls else "true"}).alias("value"))
+    return json_ready(df, how).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false" if nulls else "true"}).alias("value"))
+
+
+def write_json(df: DataFrame, path: str, nulls: bool = True, how: Egress = Egress(), mode: str = "error") -> None:
+    """Writes a JSON object a line, in as many files as df has partitions (one array for all rows would be one task's work)."""
+    to_json(df, nulls, how).write.mode(mode).text(path)

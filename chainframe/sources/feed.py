@@ -71,6 +71,15 @@ def resume_cursor(feed: DataFrame) -> DataFrame:
     return feed.groupBy("stream", "network").agg(F.max_by(F.struct("end_block", "hash"), "seq").alias("x")).select("stream", "network", F.col("x.end_block").alias("number"), F.col("x.hash").alias("hash"))
 
 
+def extracted(rows: DataFrame, block: str = "block_num", start_block: int | None = None, finalized: DataFrame | None = None) -> DataFrame:
+    """The rows of a raw dataset from a start block on and, with finalized (network, finalized_block), up to the finalized block of their
+    network; networks without one have no finalized rows. The start is a plain filter, so it reaches the scan."""
+    rows = rows if start_block is None else rows.where(F.col(block) >= start_block)
+    if finalized is None:
+        return rows
+    return rows.join(finalized.select("network", "finalized_block"), "network").where(F.col(block) <= F.col("finalized_block")).select(rows.columns)
+
+
 def event_rows(events: DataFrame) -> DataFrame:
     """The rows of data messages: b (batch), network, block_num, event_id, value."""
     return events.select(
