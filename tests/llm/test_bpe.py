@@ -61,3 +61,14 @@ def test_columns_named_like_results_are_replaced(spark):
     assert got.columns == ["doc_id", "ids", "decoded"]
     assert (list(got.first().ids), bytes(got.first().decoded)) == (PLAIN.encode_ordinary("a b"), b"a b")
     assert bpe.encode(docs.select("text"), PATH, public_tokenizers.PATTERN).columns == ["ids"]
+
+
+def test_decoding_null_and_unknown_ids(spark):
+    rows = [(1, None), (2, []), (3, PLAIN.encode_ordinary("naïve a")), (4, None), (5, [0])]
+    got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"), PATH).collect()
+    assert {r.doc_id: bytes(r.decoded) for r in got} == {i: b"".join(PLAIN.decode_single_token_bytes(x) for x in ids or ()) for i, ids in rows}
+    for wrong in (-1, max(RANKS.values()) + 1):
+        with pytest.raises(Exception, match="(?i)bounds"):
+            bpe.decode(spark.createDataFrame([([wrong],)], "ids array<int>"), PATH).collect()
+    with pytest.raises(Exception, match="no token"):
+        bpe.decode(spark.createDataFrame([([None],)], "ids array<int>"), PATH).collect()
