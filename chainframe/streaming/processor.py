@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+import json
+import operator
+import os
+import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +19,8 @@ from chainframe.streaming.state import RETENTION, StreamState
 
 EVENTS = "stream string, seq long, tx_id long, tag string, cause string, undo_start long, undo_end long, prune long"
 MESSAGE = "array<struct<network:string,start:bigint,end:bigint,hash:string,prev_hash:string>>"
+#: Rows of a run that a merge holds at a time, runs that are merged at once, and events that a worker hands on at once.
+SLICE, RUNS, EVENTS_AT_ONCE = 500, 64, 10_000
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,8 +30,70 @@ def messages(feed: DataFrame) -> DataFrame:
     return feed.groupBy("stream", "seq").agg(F.bool_and("ranges_complete").alias("ranges_complete"), F.array_sort(F.collect_list(one)).alias("ranges")).withColumn("n_rows", F.when(F.col("ranges_complete"), 0).otherwise(1).cast("long"))
 
 
+def _run(path: str) -> Iterator[tuple]:
+    with pa.OSFile(path) as file, pa.ipc.open_file(file) as run:
+        for k in range(run.num_record_batches):
+            yield from zip(*run.get_batch(k).to_pydict().values(), strict=True)
+
+
+def in_order(frames: Iterator[pd.DataFrame], columns: list[str], slice_rows: int = SLICE, runs: int = RUNS) -> Iterator[tuple]:
+    """The rows of frames as tuples of columns, ascending in the first one.
+
+    Each frame becomes a sorted run in a temporary file, and so many runs become one longer run. So a worker holds one frame and some
+    rows of each run, however many rows there are.
+    """
+    with tempfile.TemporaryDirectory() as folder:
+        levels: list[list[str]] = []
+        made = 0
+
+        def merged(paths: list[str]) -> Iterator[tuple]:
+            return heapq.merge(*map(_run, paths), key=operator.itemgetter(0))
+
+        def new_path() -> str:
+            nonlocal made
+            made += 1
+            return f"{folder}/{made}"
+
+        def add(path: str, level: int, schema: pa.Schema) -> None:
+            if level == len(levels):
+                levels.append([])
+            levels[level].append(path)
+            if len(levels[level]) < runs:
+                return
+            longer, some = new_path(), []
+            with pa.ipc.new_file(longer, schema) as out:
+                for row in merged(levels[level]):
+                    some.append(row)
+                    if len(some) == slice_rows:
+                        out.write_batch(pa.record_batch(list(map(list, zip(*some, strict=True))), schema=schema))
+                        some = []
+                if some:
+                    out.write_batch(pa.record_batch(list(map(list, zip(*some, strict=True))), schema=schema))
+            for old in levels[level]:
+                os.remove(old)
+            levels[level] = []
+            add(longer, level + 1, schema)
+
+        for frame in frames:
+            table = pa.Table.from_pandas(frame[columns].sort_values(columns[0]), preserve_index=False)
+            del frame
+            path = new_path()
+            with pa.ipc.new_file(path, table.schema) as out:
+                out.write_table(table, max_chunksize=slice_rows)
+            add(path, 0, table.schema)
+        yield from merged([path for level in levels for path in level])
+
+
+def _events(some: list[dict]) -> pd.DataFrame:
+    made = pd.DataFrame(some)
+    for c in ("undo_start", "undo_end", "prune"):
+        made[c] = made[c].astype("Int64")
+    return made
+
+
 class TransactionProcessor(StatefulProcessor):
-    """Holds a StreamState for each stream; watermarks are committed as they come."""
+    """Holds a StreamState for each stream; watermarks are committed as they come. Of the messages of a micro-batch, which come in any
+    order, a worker holds some at a time."""
 
     def __init__(self, retention: int = RETENTION):
         self.retention = retention
@@ -33,18 +103,17 @@ class TransactionProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         state = StreamState.loads(self.state.get()[0]) if self.state.exists() else StreamState(self.retention)
-        every = pd.concat(list(rows)).sort_values("seq")  # rows of a key come in any order
         out = []
-        for row in every.itertuples():
-            ranges = [dict(r.asDict() if hasattr(r, "asDict") else r) for r in row.ranges]
-            event = state.message([{k: (int(v) if k in ("start", "end") else v) for k, v in r.items()} for r in ranges], bool(row.ranges_complete), int(row.n_rows))
+        for seq, complete, n_rows, ranges in in_order(rows, ["seq", "ranges_complete", "n_rows", "ranges"]):
+            event = state.message(json.loads(ranges), bool(complete), int(n_rows))
             state.commit(event["tx_id"])
-            out.append({"stream": key[0], "seq": int(row.seq), **event})
+            out.append({"stream": key[0], "seq": int(seq), **event})
+            if len(out) == EVENTS_AT_ONCE:
+                yield _events(out)
+                out = []
         self.state.update((state.dumps(),))
-        made = pd.DataFrame(out)
-        for c in ("undo_start", "undo_end", "prune"):
-            made[c] = made[c].astype("Int64")
-        yield made
+        if out:
+            yield _events(out)
 
     def close(self) -> None:
         pass
@@ -53,7 +122,9 @@ class TransactionProcessor(StatefulProcessor):
 def transactions(stream: DataFrame, retention: int = RETENTION) -> DataFrame:
     """The events of a streaming DataFrame of messages. A message that breaks the protocol ends the query with its error."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    return stream.groupBy("stream").transformWithStateInPandas(TransactionProcessor(retention), EVENTS, "Append", "None")
+    # ranges as text: a worker would make several objects of each
+    plain = stream.select("stream", "seq", "ranges_complete", "n_rows", F.to_json("ranges", {"ignoreNullFields": "false"}).alias("ranges"))
+    return plain.groupBy("stream").transformWithStateInPandas(TransactionProcessor(retention), EVENTS, "Append", "None")
 
 
 def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:

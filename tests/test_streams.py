@@ -1,5 +1,10 @@
 """Streams that stop and start again, and the stores behind them."""
 
+import json
+import random
+import weakref
+
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +150,57 @@ def test_arrow_streams(spark, tmp_path, codec):
     assert arrow_types.read_ipc(spark, f"file://{tmp_path}").select(F.unix_micros(F.col("ms").cast("timestamp")).alias("u")).where("u < 0").first().u == -1_500_000
     value = arrow_types.to_json(arrow_types.read_ipc(spark, f"file://{tmp_path}").where("word = 'a'").select("big", "nested", "pairs")).first().value
     assert value == '{"big":"9223372036854775808","nested":{"k":[1,2]},"pairs":[{"key":"x","value":1},{"key":"x","value":2}]}'
+
+
+class _Held:
+    """A value state without Spark."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_a_worker_holds_some_messages_of_a_micro_batch_at_a_time(monkeypatch):
+    monkeypatch.setattr(processor, "EVENTS_AT_ONCE", 7)
+    hashes = ["0x" + f"{i + 1:064x}" for i in range(200)]
+    messages = [(i, json.dumps([{"network": "eth", "start": i * 10, "end": i * 10 + 9, "hash": hashes[i], "prev_hash": hashes[i - 1] if i else None}])) for i in range(200)]
+    random.Random(1).shuffle(messages)
+    frames, most = [], 0
+
+    def rows():
+        nonlocal most
+        for k in range(0, 200, 10):
+            some = messages[k : k + 10]
+            frame = pd.DataFrame({"stream": "s", "seq": [i for i, _ in some], "ranges_complete": [i % 2 == 1 for i, _ in some], "n_rows": [1 - i % 2 for i, _ in some], "ranges": [r for _, r in some]})
+            frames.append(weakref.ref(frame))
+            yield frame
+            del frame
+            most = max(most, sum(f() is not None for f in frames))
+
+    operator = processor.TransactionProcessor()
+    operator.init(_Held())
+    blocks = list(operator.handleInputRows(("s",), rows(), None))
+    assert most <= 1 and max(map(len, blocks)) <= 7
+    made = pd.concat(blocks)
+    assert list(made["seq"]) == list(made["tx_id"]) == list(range(200))
+    assert list(made["tag"]) == ["Data", "Watermark"] * 100
+
+
+@pytest.mark.parametrize("runs", [2, 3, 64])
+def test_rows_come_in_order_whatever_the_number_of_runs(runs):
+    places = list(range(1000))
+    random.Random(2).shuffle(places)
+    frames = (pd.DataFrame({"text": [f"{i}" if i % 3 else None for i in places[k : k + 13]], "seq": places[k : k + 13]}) for k in range(0, 1000, 13))
+    assert list(processor.in_order(frames, ["seq", "text"], 4, runs)) == [(i, f"{i}" if i % 3 else None) for i in range(1000)]
+    assert list(processor.in_order(iter([]), ["seq", "text"])) == []
