@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.llm.common import bound_batches, cut, slices, words_digest
@@ -273,6 +273,18 @@ def _sketched(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, digest binary, grams long, bands array<long>")
 
 
+def _shared_buckets(texts: DataFrame) -> DataFrame:
+    """(band, bucket, short) of the texts of each bucket of several, with the bucket's number of texts and n-grams and its fingerprint
+    (least, x, y). Every bucket of every text is shuffled here and only here, before its hashes for the fingerprint are made."""
+    bucket = Window.partitionBy("band", "bucket")
+    return (
+        texts.select("short", "grams", F.posexplode("bands").alias("band", "bucket"))
+        .repartition("band", "bucket")
+        .select("band", "bucket", "short", F.count("*").over(bucket).alias("n"), F.sum("grams").over(bucket).alias("all_grams"), F.min("short").over(bucket).alias("least"), *(F.bit_xor(h).over(bucket).alias(c) for c, h in (("x", F.xxhash64("short")), ("y", F.xxhash64("short", F.lit(1))))))
+        .where("n > 1")
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root): the smallest id that each id of edges (a, b) hangs together with.
 
@@ -303,18 +315,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
         "texts",
     )
     # short names a text until it meets its digest again; two texts of one name are only compared more often
-    buckets = texts.select("short", "grams", F.posexplode("bands").alias("band", "bucket"))
-    shared = (
-        buckets.groupBy("band", "bucket")
-        .agg(F.count("*").alias("n"), F.sum("grams").alias("grams"), F.min("short").alias("least"), F.bit_xor(F.xxhash64("short")).alias("x"), F.bit_xor(F.xxhash64("short", F.lit(1))).alias("y"))
-        .where("n > 1")
-    )
-    lists = cut(
-        shared.groupBy("n", "grams", "least", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("at"), F.expr("bit_or(shiftleft(1L, band))").alias("mask")).select("n", F.col("grams").alias("all_grams"), "mask", "at.band", "at.bucket"),
-        "lists",
+    shared = cut(_shared_buckets(texts), "buckets")
+    lists = (
+        shared.groupBy("n", "all_grams", "least", "x", "y")
+        .agg(F.min(F.struct("band", "bucket")).alias("at"), F.expr("bit_or(shiftleft(1L, band))").alias("mask"))
+        .select("n", "all_grams", "mask", "at.band", "at.bucket")
     )
     blocks = F.greatest(F.ceil(F.col("n") / block), F.least("n", F.ceil(F.col("all_grams") / block_grams))).cast("int")
-    members = buckets.join(lists, ["band", "bucket"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("short", F.lit(2)), F.col("blocks")).cast("int"))
+    members = shared.select("band", "bucket", "short").join(lists, ["band", "bucket"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("short", F.lit(2)), F.col("blocks")).cast("int"))
     tiled = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.concat_ws(":", "band", "bucket", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
         "mask",

@@ -108,3 +108,24 @@ def test_prune_table_keeps_what_may_link():
     table = jaccard.prune_table(128, 0.8, 1e-6)
     assert all(0 <= least < n for n, least in table.items())
     assert table[128] > 60  # far below the threshold a pair goes
+
+
+def test_buckets_are_dealt_out_once(spark, monkeypatch):
+    plans, cut = [], jaccard.cut
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(jaccard, "cut", noted)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 59 - i % 3])) for i in range(9)] + [(9, "alone " * 7)]
+    with_joins_by_sort = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_joins_by_sort)
+    assert got == plain(rows)
+    dealt = [p for p in plans if "posexplode" in p]
+    assert len(dealt) == 1 and dealt[0].count("posexplode") == dealt[0].count("Exchange hashpartitioning") == 1
