@@ -15,6 +15,10 @@ from chainframe.sources.feed import ZERO_HASH
 from chainframe.sources.shared import cut
 
 
+#: Ranges of the order that messages are dealt out by, with their stream.
+RANGES = 64
+
+
 def is_zero(h: Column) -> Column:
     return h == ZERO_HASH
 
@@ -37,9 +41,28 @@ def places(feed: DataFrame) -> DataFrame:
     return cut(ran.withColumn("place", F.coalesce("place", F.lit(0))), "places")
 
 
-def place_in_message(feed: DataFrame) -> Column:
+def place_in_message(feed: DataFrame, prefix: str = "") -> Column:
     """What orders the networks of a message."""
-    return F.col("ordinal" if "ordinal" in feed.columns else "network")
+    return F.col(prefix + ("ordinal" if "ordinal" in feed.columns else "network"))
+
+
+def paired(feed: DataFrame) -> DataFrame:
+    """A row a message: stream, seq, ranges (its rows of the feed), before and previous (the seq and ranges of the message before, null: none).
+
+    The feed is shuffled once, by stream and range of seq; what is last in a range is carried to the next one of the stream. Ranges hold
+    equal shares of the rows of all streams, so a large stream lies in many of them.
+    """
+    named = feed.where("stream is not null and seq is not null")
+    bounds = named.agg(F.percentile_approx("seq", [k / RANGES for k in range(1, RANGES)])).first()[0]
+    at = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col("seq"))) if bounds else F.lit(0)
+    dealt = named.withColumn("_range", at).repartition("stream", "_range")
+    whole = dealt.groupBy("stream", "_range", "seq").agg(F.collect_list(F.struct(*(c for c in feed.columns if c not in ("stream", "seq")))).alias("ranges"))
+    order = Window.partitionBy("stream", "_range").orderBy("seq")
+    near = whole.select("*", F.lag("seq").over(order).alias("before"), F.lag("ranges").over(order).alias("previous"), F.lead("seq").over(order).alias("_next"))
+    carried = Window.partitionBy("stream").orderBy("_range")
+    ends = near.where("_next is null").select("stream", "_range", F.lag("seq").over(carried).alias("_seq"), F.lag("ranges").over(carried).alias("_ranges"))
+    previous = F.when(F.col("before").isNull(), F.col("_ranges")).otherwise(F.col("previous"))
+    return near.join(ends, ["stream", "_range"], "left").select("stream", "seq", "ranges", F.coalesce("before", "_seq").alias("before"), previous.alias("previous"))
 
 
 def with_previous(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
@@ -68,25 +91,35 @@ def consecutiveness_error() -> Column:
     )
 
 
-def network_errors(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
-    """stream, seq, error: repeated networks, another number of networks, an unknown network."""
-    batches = feed.groupBy("stream", "seq").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("network")).alias("networks"))
-    earlier = batches.select("stream", F.col("seq").alias("before"), F.col("networks").alias("p"))
-    error = (
+def _network_error() -> Column:
+    """Over n ranges of a message, its networks and those of the message before (p)."""
+    return (
         F.when(F.size("networks") < F.col("n"), "DuplicateNetworkError")
         .when(F.col("p").isNotNull() & (F.size("p") != F.size("networks")), "NetworkCountChangedError")
         .when(F.col("p").isNotNull() & (F.size(F.array_except("networks", "p")) > 0), "UnexpectedNetworkError")
     )
+
+
+def network_errors(feed: DataFrame, placed: DataFrame | None = None) -> DataFrame:
+    """stream, seq, error: repeated networks, another number of networks, an unknown network."""
+    batches = feed.groupBy("stream", "seq").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("network")).alias("networks"))
+    earlier = batches.select("stream", F.col("seq").alias("before"), F.col("networks").alias("p"))
     known = batches.join((placed or places(feed)).select("stream", "seq", "before"), ["stream", "seq"])
-    return known.join(earlier, ["stream", "before"], "left").select("stream", "seq", error.alias("error"))
+    return known.join(earlier, ["stream", "before"], "left").select("stream", "seq", _network_error().alias("error"))
 
 
 def first_errors(feed: DataFrame) -> DataFrame:
     """stream, seq, error of the first message of each stream that fails: hashes, then networks, then order."""
-    placed, first = places(feed), place_in_message(feed)
-    checked = with_previous(feed, placed).withColumn("e1", prev_hash_error()).withColumn("e3", consecutiveness_error())
-    per_batch = checked.groupBy("stream", "seq").agg(F.min_by("e1", F.when(F.col("e1").isNotNull(), first)).alias("e1"), F.min_by("e3", F.when(F.col("e3").isNotNull(), first)).alias("e3"))
-    both = per_batch.join(network_errors(feed, placed), ["stream", "seq"]).select("stream", "seq", F.coalesce("e1", "error", "e3").alias("error"))
+    names = lambda ranges: F.array_distinct(F.array_compact(F.transform(ranges, lambda r: r["network"])))
+    messages = paired(feed).select("stream", "seq", "ranges", "previous", F.size("ranges").alias("n"), names(F.col("ranges")).alias("networks"), names(F.col("previous")).alias("p"))
+    ranges = messages.select("stream", "seq", "previous", _network_error().alias("e2"), F.explode("ranges").alias("r"))
+    # of a network that the message before repeats, its largest range
+    same = F.transform(F.filter("previous", lambda r: r["network"] == F.col("r.network")), lambda r: F.struct(*(r[c].alias(f"col{k}") for k, c in enumerate(("start_block", "end_block", "hash", "prev_hash"), 1))))
+    known = ranges.select("stream", "seq", "e2", place_in_message(feed, "r.").alias("first"), *(f"r.{c}" for c in ("start_block", "end_block", "hash", "prev_hash")), F.array_max(same).alias("_p"))
+    known = known.select("*", *(F.col("_p")[k].alias(p) for k, p in (("col1", "p_start"), ("col2", "p_end"), ("col3", "p_hash"), ("col4", "p_prev"))))
+    failed = known.select("stream", "seq", "first", prev_hash_error().alias("e1"), "e2", consecutiveness_error().alias("e3")).where("coalesce(e1, e2, e3) is not null")
+    first = lambda e: F.min_by(e, F.when(F.col(e).isNotNull(), F.col("first")))
+    both = failed.groupBy("stream", "seq").agg(F.coalesce(first("e1"), F.max("e2"), first("e3")).alias("error"))
     return both.where("error is not null").groupBy("stream").agg(F.min(F.struct("seq", "error")).alias("x")).select("stream", "x.*")
 
 
@@ -129,7 +162,7 @@ def defective_feeds(feed: DataFrame, at: int) -> DataFrame:
         .otherwise(F.col("prev_hash"))
     )
     back = d("same_parent_back") & here & eth
-    before = F.max(F.when(F.col("seq") < at, F.struct("seq", "hash"))).over(Window.partitionBy("stream", "network"))["hash"]
-    return rows.withColumn("_h", before).select(
+    before = feed.where((F.col("seq") < at) & eth).agg(F.max(F.struct("seq", "hash"))["hash"].alias("_h"))
+    return rows.crossJoin(F.broadcast(before)).select(
         "stream", "seq", "ranges_complete", other.alias("network"), F.when(back, F.col("start_block") - 5).otherwise(F.col("start_block")).alias("start_block"), "end_block", "hash", F.when(back, F.col("_h")).otherwise(prev).alias("prev_hash")
     )

@@ -6,6 +6,7 @@ import pytest
 
 from chainframe.operators import protocol
 from chainframe.operators.transactions import Marks
+from chainframe.queries import _feed
 from chainframe.sources.feed import ZERO_HASH
 from chainframe.streaming.state import ProtocolError, ReorgError, StreamState, check, invalidated, partial_network, pruning_point, recovery_point
 
@@ -200,3 +201,28 @@ def test_closed_forms_with_rare_watermarks(spark):
     assert undos["far", 71] == (11, 70)
     prunes = {(x.stream, x.w_id): x.prune for x in found.prunes().collect()}
     assert prunes == {k: e["prune"] for k, e in wanted.items() if e["prune"] is not None} and prunes
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 64])
+def test_messages_meet_the_one_before_across_ranges(spark, monkeypatch, ranges):
+    monkeypatch.setattr(protocol, "RANGES", ranges)
+    seqs = {"a": [i * i for i in range(50)], "b": [3, 2400, 2401], "c": [7]}
+    rows = [(s, q, n, q + k) for s, qs in seqs.items() for q in qs for k, n in enumerate(("x", "y")) if n == "x" or q % 3]
+    got = {(r.stream, r.seq): r for r in protocol.paired(spark.createDataFrame([*rows, (None, 1, "x", 1), ("a", None, "x", 1)], "stream string, seq long, network string, v long").repartition(7)).collect()}
+    own = lambda s, q: sorted((n, v) for t, p, n, v in rows if (t, p) == (s, q))
+    assert set(got) == {(s, q) for s, qs in seqs.items() for q in qs}
+    for s, qs in seqs.items():
+        for before, q in zip([None, *qs], qs, strict=False):
+            r = got[s, q]
+            assert r.before == before and sorted((x.network, x.v) for x in r.ranges) == own(s, q)
+            assert (r.previous and sorted((x.network, x.v) for x in r.previous)) == (None if before is None else own(s, before))
+    assert protocol.paired(spark.createDataFrame([], "stream string, seq long, network string, v long")).count() == 0
+
+
+def test_first_errors_shuffle_whole_ranges_once(spark, sf_dir):
+    found = protocol.first_errors(protocol.defective_feeds(_feed(spark, sf_dir), 40))
+    assert found.count() == len(protocol.DEFECTS)
+    found.write.mode("overwrite").format("noop").save()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [stream" in plan and "max_by" not in plan
+    assert "Window [max(" not in plan
