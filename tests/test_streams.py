@@ -2,6 +2,7 @@
 
 import json
 import random
+import tracemalloc
 import weakref
 
 import pandas as pd
@@ -204,3 +205,21 @@ def test_rows_come_in_order_whatever_the_number_of_runs(runs):
     frames = (pd.DataFrame({"text": [f"{i}" if i % 3 else None for i in places[k : k + 13]], "seq": places[k : k + 13]}) for k in range(0, 1000, 13))
     assert list(processor.in_order(frames, ["seq", "text"], 4, runs)) == [(i, f"{i}" if i % 3 else None) for i in range(1000)]
     assert list(processor.in_order(iter([]), ["seq", "text"])) == []
+
+
+def test_the_memory_of_a_worker_does_not_grow_with_its_messages():
+    def most(n):
+        places, held, arrow = list(range(n)), 0, pa.total_allocated_bytes()
+        random.Random(3).shuffle(places)
+        frames = (pd.DataFrame({"seq": places[k : k + 250], "text": [f"{i:0400d}" for i in places[k : k + 250]]}) for k in range(0, n, 250))
+        tracemalloc.start()
+        try:
+            for place, row in enumerate(processor.in_order(frames, ["seq", "text"], 100, 4)):
+                assert row == (place, f"{place:0400d}")
+                held = max(held, pa.total_allocated_bytes() - arrow)
+            return held + tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    most(1_000)  # what is imported by the first run
+    assert most(40_000) < 2 * most(5_000)
